@@ -11,8 +11,6 @@ from ledgerlens.sources.scratch import Scratch
 # A group of copies is ranked in blocks of this many consecutive row numbers.
 ROWS_PER_BLOCK = 1_000_000
 
-LAST_POSITION = 9223372036854775807
-
 
 def rank_copies(
     df: DataFrame,
@@ -29,10 +27,11 @@ def rank_copies(
     3. The rest, normally few, is grouped by its exact key, so a hash collision does no
        harm. A group is cut into blocks of row numbers: ranks are taken within a block and
        shifted by the size of the blocks before it. A block holds at most rows_per_block
-       rows as long as order_column is unique, however large the group is.
+       rows as long as order_column is unique, however large the group is. Rows without a
+       row number come last, in the order they are written down in.
     """
-    key_texts = [text_or_empty(F.col(name)) for name in key_columns]
-    hashed = df.withColumn("key_hash", F.xxhash64(*key_texts))
+    key = F.struct(*[text_or_empty(F.col(name)).alias(name) for name in key_columns])
+    hashed = df.withColumn("key_hash", F.xxhash64(key))
     repeated = scratch.table(
         hashed.groupBy("key_hash")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -47,27 +46,33 @@ def rank_copies(
     unique = hashed.join(repeated, "key_hash", "left_anti").withColumns(
         {"duplicate_count": one, "duplicate_rank": one}
     )
-    position = F.coalesce(F.col(order_column).try_cast("long"), F.lit(LAST_POSITION))
-    block = F.floor(position / F.lit(rows_per_block)).cast("long")
-    keys = [f"key_text_{i}" for i in range(len(key_columns))]
+    number = F.col(order_column).try_cast("long")
+    position = F.coalesce(number, F.monotonically_increasing_id())
     copies = scratch.table(
         hashed.join(repeated, "key_hash", "left_semi").withColumns(
-            {**dict(zip(keys, key_texts)), "position": position, "block": block}
+            {
+                "copy_key": key,
+                "position": position,
+                "block": F.struct(
+                    number.isNull().alias("unnumbered"),
+                    F.floor(position / F.lit(rows_per_block)).alias("number"),
+                ),
+            }
         ),
         "copies",
     )
 
-    in_block = Window.partitionBy(*keys, "block")
+    in_block = Window.partitionBy("copy_key", "block")
     local = copies.withColumns(
         {
             "local_rank": F.row_number().over(in_block.orderBy("position")),
             "local_count": F.count(F.lit(1)).over(in_block),
         }
     )
-    in_group = Window.partitionBy(*keys)
+    in_group = Window.partitionBy("copy_key")
     earlier = in_group.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
-        copies.groupBy(*keys, "block")
+        copies.groupBy("copy_key", "block")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumns(
             {
@@ -78,7 +83,7 @@ def rank_copies(
         .filter("rows_in_group > n")
         .drop("n")
     )
-    ranked = local.join(blocks, [*keys, "block"], "left").withColumns(
+    ranked = local.join(blocks, ["copy_key", "block"], "left").withColumns(
         {
             "duplicate_count": F.coalesce("rows_in_group", "local_count"),
             "duplicate_rank": F.col("local_rank") + F.coalesce("rows_before", F.lit(0)),

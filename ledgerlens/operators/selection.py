@@ -191,7 +191,8 @@ def exact_quantiles(
         if lower == upper or low == high:
             return low
         weight = position - lower
-        return low * (1.0 - weight) + high * weight
+        # rounded once for the product and the sum, which the reference results rely on
+        return math.fma(low, 1.0 - weight, high * weight)
 
     return {fraction: at(fraction) for fraction in fractions}
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ledgerlens.operators.accounts import account_events, account_metrics
@@ -44,21 +44,29 @@ def run_ingest(
     return {"raw_file": source, "bronze_rows": lake.count("bronze_transactions")}
 
 
-def run_quality(spark: SparkSession, root: str) -> dict[str, int]:
+def scored_bronze(spark: SparkSession, root: str) -> DataFrame:
+    return score_quality(Lake(spark, root).table("bronze_transactions"), Scratch(spark, "quality"))
+
+
+def run_quality(
+    spark: SparkSession, root: str, scored: DataFrame | None = None
+) -> dict[str, int]:
     """Bronze to quarantine, and one quality result per check.
 
     Every failed row is in quarantine and the total comes from the Parquet footers, so
     counting the checks does not read bronze again.
     """
     lake = Lake(spark, root)
-    scored = score_quality(lake.table("bronze_transactions"), Scratch(spark, "quality"))
+    scored = scored or scored_bronze(spark, root)
     bad = lake.write(quarantine(scored), "quarantine_bad_transactions")
     total_rows = lake.count("bronze_transactions")
     History(spark, lake.root).append_quality(check_results(bad, total_rows))
     return {"total_rows": total_rows, "quarantine_rows": bad.count()}
 
 
-def run_transform(spark: SparkSession, root: str) -> dict[str, int]:
+def run_transform(
+    spark: SparkSession, root: str, scored: DataFrame | None = None
+) -> dict[str, int]:
     """Bronze to silver and gold.
 
     Silver keeps the day-by-day layout of bronze, so it is written without a shuffle. Day,
@@ -66,7 +74,7 @@ def run_transform(spark: SparkSession, root: str) -> dict[str, int]:
     """
     lake = Lake(spark, root)
     scratch = Scratch(spark, "transform")
-    scored = score_quality(lake.table("bronze_transactions"), scratch)
+    scored = scored or scored_bronze(spark, root)
     silver = lake.write(silver_transactions(scored), "silver_transactions")
 
     metrics = scratch.table(account_metrics(account_events(silver)), "account-metrics")
@@ -95,6 +103,8 @@ def run_pipeline(
 ) -> dict[str, int | str]:
     """All stages; the run is recorded as SUCCESS, or as FAILED with the error and raised.
 
+    Quality and transform share one search for duplicates, which each does itself when run
+    alone.
     A missing raw file is noticed before the run is recorded and leaves no trace.
     """
     source = find_raw_file(spark, root.rstrip("/"), raw_file)
@@ -103,8 +113,9 @@ def run_pipeline(
     metrics: dict[str, int | str] = {"run_id": run_id, "raw_file": source}
     try:
         metrics.update(run_ingest(spark, root, source, sample_rows, schema, mode))
-        metrics.update(run_quality(spark, root))
-        metrics.update(run_transform(spark, root))
+        scored = scored_bronze(spark, root)
+        metrics.update(run_quality(spark, root, scored))
+        metrics.update(run_transform(spark, root, scored))
     except Exception as error:
         history.finish_run(run_id, "FAILED", metrics, notes=str(error))
         raise
