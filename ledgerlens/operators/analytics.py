@@ -287,7 +287,7 @@ def account_risk(
             F.struct(F.lit(row[0]).alias("amount"), F.lit(row[1]).alias("account"))
             for row in listed.select("fraud_amount_touched", "account_id").collect()
         ]
-    )
+    ).cast("array<struct<amount:double,account:string>>")
     amount, account = F.col("fraud_amount_touched"), F.col("account_id")
     before = F.size(
         F.filter(
