@@ -17,7 +17,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerlens.operators import accounts, analytics, gold, quality, rules, silver  # noqa: E402
 from ledgerlens.plans.history import History  # noqa: E402
-from ledgerlens.plans.pipeline import run_pipeline, run_quality, run_transform  # noqa: E402
+from ledgerlens.plans.pipeline import (  # noqa: E402
+    run_pipeline,
+    run_quality,
+    run_transform,
+    scored_bronze,
+)
 from ledgerlens.schema import TABLES  # noqa: E402
 from ledgerlens.sources.events import transactions_from_events, write_raw_csv  # noqa: E402
 from ledgerlens.sources.lake import Lake  # noqa: E402
@@ -40,19 +45,29 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], No
     return _built[key]
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """Bronze, quarantine, silver and gold tables of the derived transactions."""
+def _bronze_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """The derived transactions as bronze table."""
 
     def build(root: str) -> None:
-        Lake(spark, root).write(
-            transactions_from_events(spark, sf_dir), "bronze_transactions", rebalance=True
-        )
-        run_quality(spark, root)
-        run_transform(spark, root)
+        rows = transactions_from_events(spark, sf_dir)
+        Lake(spark, root).write(rows, "bronze_transactions", rebalance=True)
 
     return Lake(spark, _once(spark, sf_dir, "lake", build))
 
 
+def _lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Bronze, quarantine, silver and gold tables of the derived transactions."""
+    lake = _bronze_lake(spark, sf_dir)
+
+    def build(_: str) -> None:
+        scored = scored_bronze(spark, lake.root)
+        run_quality(spark, lake.root, scored)
+        run_transform(spark, lake.root, scored)
+
+    _once(spark, sf_dir, "lake-tables", build)
+    return lake
+
+
 def _raw_csv(spark: SparkSession, sf_dir: str) -> str:
     return _once(
         spark, sf_dir, "raw.csv",
@@ -74,7 +89,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.score_quality(transactions_from_events(spark, sf_dir))
+    return quality.score_quality(_bronze_lake(spark, sf_dir).table("bronze_transactions"))
 
 
 def _bronze(spark: SparkSession, sf_dir: str, sample_rows: int | None = None) -> DataFrame:

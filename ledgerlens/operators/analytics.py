@@ -281,25 +281,25 @@ def account_risk(
 
     by_risk = [F.desc("risk_score"), F.desc("fraud_amount_touched"), F.asc("account_id")]
     listed = scored.orderBy(*by_risk).limit(limit)
-    # at most `limit` rows; every task compares its accounts with them
-    borders = F.array(
-        *[
-            F.struct(F.lit(row[0]).alias("amount"), F.lit(row[1]).alias("account"))
-            for row in listed.select("fraud_amount_touched", "account_id").collect()
-        ]
-    ).cast("array<struct<amount:double,account:string>>")
+    # at most `limit` borders in one array, which every task compares its accounts with
+    borders = listed.agg(F.collect_list(F.struct("fraud_amount_touched", "account_id"))).scalar()
     amount, account = F.col("fraud_amount_touched"), F.col("account_id")
     before = F.size(
         F.filter(
-            borders,
-            lambda border: (border["amount"] > amount)
-            | ((border["amount"] == amount) & (border["account"] < account)),
+            F.col("borders"),
+            lambda border: (border["fraud_amount_touched"] > amount)
+            | ((border["fraud_amount_touched"] == amount) & (border["account_id"] < account)),
         )
     )
+
+    def with_place(accounts: DataFrame) -> DataFrame:
+        return accounts.withColumn("borders", borders).withColumn("listed_before", before)
+
     # one row per gap between listed accounts, so at most limit + 1 rows
     up_to_here = Window.orderBy("listed_before").rowsBetween(Window.unboundedPreceding, 0)
     cumulative = (
-        scored.groupBy(before.alias("listed_before"))
+        with_place(scored)
+        .groupBy("listed_before")
         .agg(money_parts(amount)[0].alias("gap_amount"))
         .select(
             "listed_before",
@@ -309,12 +309,8 @@ def account_risk(
     )
     # the window covers the listed accounts only
     return (
-        listed.withColumns(
-            {
-                "risk_rank": F.row_number().over(Window.orderBy(*by_risk)).cast("long"),
-                "listed_before": before,
-            }
-        )
+        with_place(listed)
+        .withColumn("risk_rank", F.row_number().over(Window.orderBy(*by_risk)).cast("long"))
         .join(cumulative, "listed_before")
         .select(
             "risk_rank",
