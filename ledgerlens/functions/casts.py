@@ -35,13 +35,13 @@ def blank_to_null(column: Column) -> Column:
 def double_text(x: Column) -> Column:
     """A double as plain decimal text, '12345678.5' rather than '1.23456785E7'.
 
-    Between 1e-3 and 1e7 Spark's own text is plain already. Outside of that range the
-    text goes through a wide decimal, if that keeps every digit.
+    Spark's own text has an exponent below 1e-3 and from 1e7 on. From 1e-4 to 1e16 that is
+    written out; 22 decimals hold every digit there.
     """
     text = x.cast("string")
-    plain = (x == 0) | F.abs(x).between(1e-3, 9999999.0)
-    widened = F.regexp_replace(x.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1")
-    return F.when(plain, text).when(widened.try_cast("double") == x, widened).otherwise(text)
+    written_out = F.regexp_replace(F.format_string("%.22f", x), r"(\.\d+?)0+$", "$1")
+    in_range = (F.abs(x) >= F.lit(1e-4)) & (F.abs(x) < F.lit(1e16))
+    return F.when(F.contains(text, F.lit("E")) & in_range, written_out).otherwise(text)
 
 
 def text_or_empty(column: Column) -> Column:

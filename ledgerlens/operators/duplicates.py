@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerlens.functions.casts import text_or_empty
 from ledgerlens.sources.scratch import Scratch
 
 # A group of copies is ranked in blocks of this many consecutive row numbers.
@@ -19,7 +19,9 @@ def rank_copies(
     scratch: Scratch,
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
-    """Add duplicate_count and duplicate_rank (bigint) over rows with equal key text.
+    """Add duplicate_count and duplicate_rank (bigint) over rows whose key columns agree.
+
+    Columns agree when their text does and NULL is the same as empty text.
 
     1. Hashes that occur more than once are found from 8-byte hashes alone; equal ones
        combine before the shuffle.
@@ -30,8 +32,8 @@ def rank_copies(
        rows as long as order_column is unique, however large the group is. Rows without a
        row number come last, in the order they are written down in.
     """
-    key = F.struct(*[text_or_empty(F.col(name)).alias(name) for name in key_columns])
-    hashed = df.withColumn("key_hash", F.xxhash64(key))
+    key = [part for name in key_columns for part in _key_parts(df, name)]
+    hashed = df.withColumn("key_hash", F.xxhash64(*key))
     repeated = scratch.table(
         hashed.groupBy("key_hash")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -51,7 +53,6 @@ def rank_copies(
     copies = scratch.table(
         hashed.join(repeated, "key_hash", "left_semi").withColumns(
             {
-                "copy_key": key,
                 "position": position,
                 "block": F.struct(
                     number.isNull().alias("unnumbered"),
@@ -60,7 +61,7 @@ def rank_copies(
             }
         ),
         "copies",
-    )
+    ).withColumn("copy_key", F.struct(*key))
 
     in_block = Window.partitionBy("copy_key", "block")
     local = copies.withColumns(
@@ -91,3 +92,17 @@ def rank_copies(
     )
     result = [*df.columns, "duplicate_count", "duplicate_rank"]
     return unique.select(*result).unionByName(ranked.select(*result))
+
+
+def _key_parts(df: DataFrame, name: str) -> list[Column]:
+    """Columns that are equal exactly when the text of a column is, without making text.
+
+    Grouping takes 0.0 and -0.0 for the same number, their text is not, so zeros add theirs.
+    """
+    column = F.col(name)
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        return [F.coalesce(column, F.lit(""))]
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return [column, F.when(column == 0, column.cast("string"))]
+    return [column]

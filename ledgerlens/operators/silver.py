@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.casts import double_text, text_or_empty
@@ -18,20 +18,25 @@ def silver_transactions(scored: DataFrame) -> DataFrame:
     """
     step = F.col("parsed_step")
 
-    def number(name: str):
-        return F.coalesce(double_text(F.col(name)), F.lit(""))
+    def numbers(*names: str) -> Column:
+        # one small function for every number instead of the same code five times over,
+        # which the JVM would not compile any more
+        columns = F.array(*[F.col(name) for name in names])
+        return F.transform(columns, lambda x: F.coalesce(double_text(x), F.lit("")))
 
     # Fixed value: order of the id's parts.
     id_parts = (
         text_or_empty(step),
         text_or_empty(F.col("normalized_transaction_type")),
-        number("parsed_amount"),
+        numbers("parsed_amount"),
         text_or_empty(F.col("sender_account")),
         text_or_empty(F.col("receiver_account")),
-        number("parsed_oldbalanceOrg"),
-        number("parsed_newbalanceOrig"),
-        number("parsed_oldbalanceDest"),
-        number("parsed_newbalanceDest"),
+        numbers(
+            "parsed_oldbalanceOrg",
+            "parsed_newbalanceOrig",
+            "parsed_oldbalanceDest",
+            "parsed_newbalanceDest",
+        ),
         text_or_empty(F.col("parsed_isFraud")),
         text_or_empty(F.col("parsed_isFlaggedFraud")),
     )

@@ -191,3 +191,16 @@ def test_clean_and_bad_rows_are_everything(spark, sf_dir):
 
     scored = score_quality(transactions_from_events(spark, sf_dir))
     assert (clean_rows(scored).count(), bad_rows(scored).count()) == (9755, 289)
+
+
+def test_key_text_decides_equality(spark):
+    """0.0 and -0.0 differ in text, NaN equals NaN, NULL equals NULL."""
+    values = [0.0, -0.0, 0.0, float("nan"), float("nan"), None, None, 1.5, 1.5, 2.5]
+    rows = [(n, value, None if n % 2 else "") for n, value in enumerate(values)]
+    df = spark.createDataFrame(rows, "n long, x double, t string")
+    ranked = rank_copies(df, ("x", "t"), "n", Scratch(spark, "t"))
+    found = {row["n"]: (row["duplicate_count"], row["duplicate_rank"]) for row in ranked.collect()}
+    assert found == {
+        0: (2, 1), 1: (1, 1), 2: (2, 2), 3: (2, 1), 4: (2, 2), 5: (2, 1), 6: (2, 2), 7: (2, 1),
+        8: (2, 2), 9: (1, 1),
+    }
