@@ -34,14 +34,15 @@ class Pick:
 @dataclass
 class _Range:
     group: int
+    member: Column
     low: float | int
     high: float | int
     below: int
     rows: int
     ranks: list[int] = field(default_factory=list)
 
-    def contains(self, group: Column, x: Column) -> Column:
-        return (group == self.group) & x.between(F.lit(self.low), F.lit(self.high))
+    def contains(self, x: Column) -> Column:
+        return self.member & x.between(F.lit(self.low), F.lit(self.high))
 
     def slice_of(self, x: Column, slices: int) -> Column:
         share = (x - F.lit(self.low)).cast("double") / F.lit(float(self.high - self.low))
@@ -52,18 +53,22 @@ def select_ranks(
     df: DataFrame,
     column: str,
     ranks_for: Callable[[int, int], Iterable[int]],
-    group: Column | None = None,
+    groups: dict[int, Column] | None = None,
     slices: int = SLICES,
     final_rows: int = FINAL_ROWS,
 ) -> dict[int, tuple[int, dict[int, Pick]]]:
     """Find the values at zero-based ranks of a numeric column, per group.
 
-    ranks_for(group, rows) names the ranks wanted once the row count is known. Groups are
-    small integers, rows with a NULL group or value do not count. NaN sorts last. Returns
-    {group: (rows, {rank: Pick})}; an absent group has no rows.
+    groups are a few conditions that exclude each other, without them all rows are group 0.
+    ranks_for(group, rows) names the ranks wanted once the row count is known. NULL values
+    do not count, NaN sorts last. Returns {group: (rows, {rank: Pick})}; an absent group
+    has no rows.
     """
     x = F.col(column)
-    group = F.lit(0) if group is None else group
+    groups = groups or {0: F.lit(True)}
+    group = F.when(F.lit(False), F.lit(0))
+    for number, member in groups.items():
+        group = group.when(member, F.lit(number))
     bound = float("inf")
     finite = F.abs(x.cast("double")) < F.lit(bound)
     overview = (
@@ -86,7 +91,9 @@ def select_ranks(
         picks: dict[int, Pick] = {}
         found[row["group"]] = (row["rows"], picks)
         start, end = row["negative_infinite"], row["negative_infinite"] + row["finite"]
-        open_range = _Range(row["group"], row["low"], row["high"], start, row["finite"])
+        open_range = _Range(
+            row["group"], groups[row["group"]], row["low"], row["high"], start, row["finite"]
+        )
         for rank in sorted(set(ranks_for(row["group"], row["rows"]))):
             if rank < start:
                 picks[rank] = Pick(-bound, 0, start)
@@ -108,28 +115,26 @@ def select_ranks(
         if not ranges:
             break
         last = sum(item.rows for item in ranges) <= final_rows
-        ranges = _narrow(df, x, group, ranges, slices, last)
+        ranges = _narrow(df, x, ranges, slices, last)
     return found
 
 
 def _narrow(
-    df: DataFrame, x: Column, group: Column, ranges: list[_Range], slices: int, last: bool
+    df: DataFrame, x: Column, ranges: list[_Range], slices: int, last: bool
 ) -> list[_Range]:
     """One pass: split every range into slices (or single values) and keep those with ranks."""
     inside = F.lit(False)
-    slot = F.when(F.lit(False), F.lit(0))
-    part = F.when(F.lit(False), F.lit(0).cast("long"))
+    place = F.when(F.lit(False), F.lit(None))
     for number, item in enumerate(ranges):
-        hit = item.contains(group, x)
+        hit = item.contains(x)
         inside = inside | hit
-        slot = slot.when(hit, F.lit(number))
-        part = part.when(hit, item.slice_of(x, slices))
-    part = x if last else part
+        part = x if last else item.slice_of(x, slices)
+        place = place.when(hit, F.struct(F.lit(number).alias("slot"), part.alias("part")))
     counts = (
         df.filter(inside)
-        .groupBy(slot.alias("slot"), part.alias("part"))
+        .groupBy(place.alias("place"))
         .agg(F.count(F.lit(1)).alias("rows"), F.min(x).alias("low"), F.max(x).alias("high"))
-        .select("slot", "rows", "low", "high")
+        .select("place.slot", "rows", "low", "high")
         .toPandas()
     )
     narrowed = []
@@ -141,11 +146,11 @@ def _narrow(
             position = int(np.searchsorted(ends, rank - item.below, side="right"))
             held.setdefault(position, []).append(rank)
         for position, ranks in held.items():
-            part_row = parts.iloc[position]
-            rows = int(part_row["rows"])
+            rows = int(parts["rows"].iloc[position])
             narrowed.append(
                 _Range(
                     item.group,
+                    item.member,
                     parts["low"].iloc[position].item(),
                     parts["high"].iloc[position].item(),
                     item.below + int(ends[position]) - rows,
@@ -237,12 +242,10 @@ def tile_of(
             wanted.setdefault(values.index(pick.value), []).append(end - 1 - pick.below)
     ties: dict[int, tuple[int, dict[int, Pick]]] = {}
     if values:
-        which = F.when(F.lit(False), F.lit(0))
-        for number, value in enumerate(values):
-            which = which.when(F.col(column) == F.lit(value), F.lit(number))
         ties = select_ranks(
             df.filter(F.col(column).isin(values)), tie_breaker, lambda label, _: wanted[label],
-            group=which, slices=slices, final_rows=final_rows,
+            {number: F.col(column) == F.lit(value) for number, value in enumerate(values)},
+            slices=slices, final_rows=final_rows,
         )
 
     tile = F.lit(1)
