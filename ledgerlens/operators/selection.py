@@ -1,22 +1,25 @@
 """Exact order statistics without a global sort: values at given ranks, quantiles, tiles.
 
 Spark's percentile keeps every distinct value in the memory of one task, and ntile over a
-whole table sorts it in one task. Here a rank is found by counting instead. Each pass
-counts the rows per slice of the value range and narrows the range to the slice that holds
-the rank; once few rows are left, their values are counted one by one. A pass reads one
-column and shuffles at most SLICES rows per task and rank, whatever the skew.
+whole table sorts it in one task. Here a rank is found by counting instead. A first pass
+counts the rows per order of magnitude, finely divided; each further pass divides the slice
+that holds the rank into smaller ones. Once few rows are left, their values are counted one
+by one. A pass reads one column and shuffles one row per task and slice, whatever the skew.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Slices per doubling of the value in the first pass, and per range in the others.
+SLICES_PER_OCTAVE = 64
 SLICES = 4096
 # Count values one by one when at most this many rows are left.
 FINAL_ROWS = 100_000
@@ -33,13 +36,19 @@ class Pick:
 
 @dataclass
 class _Range:
+    """A part of the values of a group that holds some of the wanted ranks."""
+
     group: int
     member: Column
     low: float | int
     high: float | int
     below: int
     rows: int
-    ranks: list[int] = field(default_factory=list)
+    ranks: list[int]
+
+    @property
+    def is_one_value(self) -> bool:
+        return self.low == self.high or math.isnan(self.low)
 
     def contains(self, x: Column) -> Column:
         return self.member & x.between(F.lit(self.low), F.lit(self.high))
@@ -48,6 +57,23 @@ class _Range:
         share = (x - F.lit(self.low)).cast("double") / F.lit(float(self.high - self.low))
         return F.floor(share * F.lit(float(slices)))
 
+    def divide(self, parts: pd.DataFrame) -> list[_Range]:
+        """The parts (rows, low, high) of this range that hold its ranks."""
+        parts = parts.sort_values("low")
+        rows, low, high = (parts[name].to_numpy() for name in ("rows", "low", "high"))
+        ends = np.cumsum(rows)
+        held: dict[int, list[int]] = {}
+        for rank in self.ranks:
+            at = int(np.searchsorted(ends, rank - self.below, side="right"))
+            held.setdefault(at, []).append(rank)
+        return [
+            _Range(
+                self.group, self.member, low[at].item(), high[at].item(),
+                self.below + int(ends[at] - rows[at]), int(rows[at]), ranks,
+            )
+            for at, ranks in held.items()
+        ]
+
 
 def select_ranks(
     df: DataFrame,
@@ -66,99 +92,76 @@ def select_ranks(
     """
     x = F.col(column)
     groups = groups or {0: F.lit(True)}
-    group = F.when(F.lit(False), F.lit(0))
-    for number, member in groups.items():
-        group = group.when(member, F.lit(number))
-    bound = float("inf")
-    finite = F.abs(x.cast("double")) < F.lit(bound)
-    overview = (
-        df.filter(group.isNotNull() & x.isNotNull())
-        .groupBy(group.alias("group"))
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.min(F.when(finite, x)).alias("low"),
-            F.max(F.when(finite, x)).alias("high"),
-            F.count_if(finite).alias("finite"),
-            F.count_if(x == F.lit(-bound)).alias("negative_infinite"),
-            F.count_if(x == F.lit(bound)).alias("positive_infinite"),
-        )
-        .collect()
+    counts = _count_parts(
+        df, x, [(group, member & x.isNotNull(), _magnitude(x)) for group, member in groups.items()]
     )
-
     found: dict[int, tuple[int, dict[int, Pick]]] = {}
     ranges: list[_Range] = []
-    for row in overview:
-        picks: dict[int, Pick] = {}
-        found[row["group"]] = (row["rows"], picks)
-        start, end = row["negative_infinite"], row["negative_infinite"] + row["finite"]
-        open_range = _Range(
-            row["group"], groups[row["group"]], row["low"], row["high"], start, row["finite"]
-        )
-        for rank in sorted(set(ranks_for(row["group"], row["rows"]))):
-            if rank < start:
-                picks[rank] = Pick(-bound, 0, start)
-            elif rank < end:
-                open_range.ranks.append(rank)
-            elif rank < end + row["positive_infinite"]:
-                picks[rank] = Pick(bound, end, row["positive_infinite"])
-            else:
-                end += row["positive_infinite"]
-                picks[rank] = Pick(float("nan"), end, row["rows"] - end)
-        if open_range.ranks:
-            ranges.append(open_range)
+    for group, parts in counts.groupby("slot"):
+        rows = int(parts["rows"].sum())
+        found[group] = (rows, {})
+        ranks = sorted(set(ranks_for(group, rows)))
+        whole = _Range(group, groups[group], math.nan, math.nan, 0, rows, ranks)
+        ranges += whole.divide(parts)
 
     while ranges:
-        for item in [item for item in ranges if item.low == item.high]:
-            for rank in item.ranks:
-                found[item.group][1][rank] = Pick(item.low, item.below, item.rows)
-        ranges = [item for item in ranges if item.low != item.high]
+        for item in ranges:
+            if item.is_one_value:
+                for rank in item.ranks:
+                    found[item.group][1][rank] = Pick(item.low, item.below, item.rows)
+        ranges = [item for item in ranges if not item.is_one_value]
         if not ranges:
             break
         last = sum(item.rows for item in ranges) <= final_rows
-        ranges = _narrow(df, x, ranges, slices, last)
+        counts = _count_parts(
+            df, x,
+            [
+                (number, item.contains(x), x if last else item.slice_of(x, slices))
+                for number, item in enumerate(ranges)
+            ],
+        )
+        ranges = [
+            part
+            for number, item in enumerate(ranges)
+            for part in item.divide(counts[counts["slot"] == number])
+        ]
     return found
 
 
-def _narrow(
-    df: DataFrame, x: Column, ranges: list[_Range], slices: int, last: bool
-) -> list[_Range]:
-    """One pass: split every range into slices (or single values) and keep those with ranks."""
+def _count_parts(
+    df: DataFrame, x: Column, slots: list[tuple[int, Column, Column]]
+) -> pd.DataFrame:
+    """One pass: rows, least and greatest value per slot (number, condition) and part."""
     inside = F.lit(False)
-    place = F.when(F.lit(False), F.lit(None))
-    for number, item in enumerate(ranges):
-        hit = item.contains(x)
+    slot_of, part_of = F.when(F.lit(False), F.lit(None)), F.when(F.lit(False), F.lit(None))
+    for number, hit, part in slots:
         inside = inside | hit
-        part = x if last else item.slice_of(x, slices)
-        place = place.when(hit, F.struct(F.lit(number).alias("slot"), part.alias("part")))
-    counts = (
+        slot_of, part_of = slot_of.when(hit, F.lit(number)), part_of.when(hit, part)
+    return (
         df.filter(inside)
-        .groupBy(place.alias("place"))
+        .groupBy(slot_of.alias("slot"), part_of.alias("part"))
         .agg(F.count(F.lit(1)).alias("rows"), F.min(x).alias("low"), F.max(x).alias("high"))
-        .select("place.slot", "rows", "low", "high")
+        .select("slot", "rows", "low", "high")
         .toPandas()
     )
-    narrowed = []
-    for number, item in enumerate(ranges):
-        parts = counts[counts["slot"] == number].sort_values("low")
-        ends = np.cumsum(parts["rows"].to_numpy())
-        held: dict[int, list[int]] = {}
-        for rank in item.ranks:
-            position = int(np.searchsorted(ends, rank - item.below, side="right"))
-            held.setdefault(position, []).append(rank)
-        for position, ranks in held.items():
-            rows = int(parts["rows"].iloc[position])
-            narrowed.append(
-                _Range(
-                    item.group,
-                    item.member,
-                    parts["low"].iloc[position].item(),
-                    parts["high"].iloc[position].item(),
-                    item.below + int(ends[position]) - rows,
-                    rows,
-                    ranks,
-                )
-            )
-    return narrowed
+
+
+def _magnitude(x: Column) -> Column:
+    """A number shared by values of one sign within 1/SLICES_PER_OCTAVE of a doubling.
+
+    Doubles span about 2100 doublings, so sizes stay within 150,000 either way; infinity is
+    cut to that. Zero and NaN have numbers of their own.
+    """
+    value = x.cast("double")
+    size = F.least(
+        F.floor(F.log2(F.abs(value)) * F.lit(float(SLICES_PER_OCTAVE))), F.lit(150_000)
+    )
+    return (
+        F.when(F.isnan(value), F.lit(500_000))
+        .when(value > 0, size)
+        .when(value < 0, F.lit(-500_000) - size)
+        .otherwise(F.lit(-200_000))
+    )
 
 
 def exact_quantiles(
