@@ -15,14 +15,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may go without one; it then gets a new temporary folder.
     """
-    folder = spark.conf.get(FOLDER_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{FOLDER_SETTING} must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="ledgerlens-")
-    spark.conf.set(FOLDER_SETTING, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(FOLDER_SETTING, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError(f"{FOLDER_SETTING} must name a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 class Scratch:

@@ -146,3 +146,27 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     table = Scratch(spark, "t").table(spark.range(3), "numbers")
     assert shared_folder(spark) in table.inputFiles()[0] and table.count() == 3
+
+
+class _Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class _Session:
+    def __init__(self, master):
+        self.sparkContext = _Context(master)
+        self.conf = {}
+
+
+def test_only_a_local_session_gets_its_own_folder():
+    local = _Session("local[2]")
+    assert shared_folder(local) == shared_folder(local) == local.sparkContext.folder
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("yarn"))
