@@ -30,6 +30,14 @@ from ledgerlens.sources.raw_csv import read_raw, to_bronze  # noqa: E402
 from ledgerlens.sources.scratch import Scratch  # noqa: E402
 from oracle_queries import ORACLE  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from ledgerlens.llm import queries as corpus_queries
+except ModuleNotFoundError as error:  # the corpus operators are an optional part
+    if error.name not in ("corpus_pipeline", "ledgerlens.llm"):
+        raise
+    corpus_queries = None
+
 SAMPLE_ROWS = 500
 
 _built: dict[tuple[str, str, str], str] = {}
@@ -131,6 +139,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _lake_queries() | _corpus_queries()
+
+
+def _corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if corpus_queries is None:
+        return {}
+    return corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def _lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "bronze_transactions": _bronze,
         "bronze_sample": lambda spark, sf_dir: _bronze(spark, sf_dir, SAMPLE_ROWS),
@@ -200,4 +218,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    if corpus_queries is None:
+        return dict(ORACLE)
+    return ORACLE | corpus_queries.ORACLE
