@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import html_text, mixing, secret_scan, toxicity, url_filter
+from ledgerlens.llm import ann, embedding_join, html_text, mixing, secret_scan, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
@@ -31,6 +37,10 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op9_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 URL_RULES = (
     url_filter.Rule("allow", "org", "/"),
     url_filter.Rule("block", "example.org", "/es/"),
@@ -47,8 +57,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op4_toxicity": op4_toxicity,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_secret_scan": op6_secret_scan,
     "op7_html_text": op7_html_text,
     "op8_url_filter": op8_url_filter,
+    "op9_embedding_join": op9_embedding_join,
 }
 ORACLE: dict[str, str] = {}
