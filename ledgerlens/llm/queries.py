@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import ann, embedding_join, html_text, mixing, secret_scan, toxicity, url_filter
+from ledgerlens.llm import (
+    ann,
+    embedding_join,
+    html_text,
+    mixing,
+    piece_codec,
+    secret_scan,
+    toxicity,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +27,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encode(_table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.grade_documents(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -56,6 +69,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_toxicity": op4_toxicity,
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_secret_scan": op6_secret_scan,
