@@ -12,6 +12,7 @@ from ledgerlens.llm import (
     embedding_join,
     html_text,
     mixing,
+    near_dedup,
     piece_codec,
     secret_scan,
     toxicity,
@@ -67,6 +68,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_sentencepiece": op2_sentencepiece,
@@ -76,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_html_text": op7_html_text,
     "op8_url_filter": op8_url_filter,
     "op9_embedding_join": op9_embedding_join,
+    "op10_minhash_dedup": op10_minhash_dedup,
 }
 ORACLE: dict[str, str] = {}
