@@ -1,4 +1,4 @@
-"""The corpus pipeline: documents in, training sequences out."""
+"""The corpus pipeline: documents in, token sequences of the mix out."""
 
 from __future__ import annotations
 
@@ -6,22 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import mixing
+from ledgerlens.llm import mixing, near_dedup, piece_codec, secret_scan, toxicity
 from ledgerlens.sources.scratch import Scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without those whose expected severity is too high."""
+    return toxicity.clean_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dedup.distinct_documents(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced in their texts."""
+    return secret_scan.redacted_documents(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mixed_documents(docs)
 
 
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece numbers of every document of the mix."""
+    return piece_codec.encode(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("mix_sources", mix_sources),
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("secrets", redact_secrets),
+    ("mix", mix_sources),
+    ("pieces", encode_pieces),
 ]
 
-# Training, iterations and tokens are outside of SQL.
+# Trained models, signatures and merges are outside of SQL.
 ORACLE_SQL = None
 
 

@@ -14,6 +14,7 @@ from ledgerlens.llm import (
     mixing,
     near_dedup,
     piece_codec,
+    repeated_text,
     secret_scan,
     toxicity,
     url_filter,
@@ -32,6 +33,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode(_table(spark, sf_dir, "documents"))
 
 
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_text.without_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.grade_documents(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -75,6 +80,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_repeated_passages": op3_repeated_passages,
     "op4_toxicity": op4_toxicity,
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_secret_scan": op6_secret_scan,
