@@ -80,6 +80,11 @@ def _rate(tilt: Column, scaled: Column) -> Column:
     return F.lit(float(MOST_COPIES)) / (F.lit(1.0) + F.exp(-tilt * scaled))
 
 
+def _exact_sum(values: Column) -> Column:
+    """A sum that does not depend on the order of rows, so that reruns round alike."""
+    return F.sum(values.cast("decimal(38,10)")).cast("double")
+
+
 def solve_tilts(histogram: DataFrame, targets: DataFrame, scratch: Scratch) -> DataFrame:
     """Adds the tilt whose rates meet each source's target.
 
@@ -107,7 +112,7 @@ def solve_tilts(histogram: DataFrame, targets: DataFrame, scratch: Scratch) -> D
             cells.alias("c")
             .join(state.filter(~F.col("done")).alias("s"), F.expr("c.source <=> s.source"))
             .groupBy(F.col("c.source").alias("key"))
-            .agg(F.sum(words * rate).alias("value"), F.sum(words * slope).alias("slope"))
+            .agg(_exact_sum(words * rate).alias("value"), _exact_sum(words * slope).alias("slope"))
         )
         error = F.col("value") - F.col("target")
         low = F.when(error < 0, F.col("tilt")).otherwise(F.col("low"))
