@@ -12,6 +12,7 @@ from __future__ import annotations
 import random
 import re
 import string
+from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,9 +27,10 @@ from ledgerlens.llm.forest import Tree, fit_forest, predict_forest
 #: Documents whose words form the dictionary, those of lowest hash.
 DICTIONARY_DOCS = 400
 DICTIONARY_WORDS = 5000
-FINDINGS_PER_KIND = 150
+FINDINGS_PER_KIND = 250
 #: A candidate is a secret from this share of the forest's votes.
 LEAST_SCORE = 0.5
+KINDS = ("key_block", "token_format", "assigned", "long_string")
 LEAST_RUN = 20
 LEAST_VALUE = 6
 REDACTED = "[secret]"
@@ -51,7 +53,7 @@ TOKEN_FORMATS = (
 )
 
 KNOWN = re.compile("|".join(f"(?:{p})" for p in TOKEN_FORMATS))
-RUN = re.compile(r"[A-Za-z0-9+/_=.~-]{%d,}" % LEAST_RUN)
+RUN = re.compile(r"[A-Za-z0-9+/_.~-]{%d,}={0,2}" % LEAST_RUN)
 KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?(?:-----END [A-Z ]*PRIVATE KEY-----|\Z)", re.S)
 NAME_BEFORE = re.compile(r"([A-Za-z0-9_.\-]+)[\"']?\s{0,3}\Z")
 VALUE_AFTER = re.compile(r"[=>:]?\s{0,3}[\"']?([^\s\"'<>,;]+)")
@@ -67,7 +69,10 @@ class Candidate:
 
 
 def candidates(text: str | None) -> list[Candidate]:
-    """Possible secrets of the whole text in order, without overlaps (the first one stays)."""
+    """Possible secrets of the whole text in order.
+
+    Of overlapping ones the more specific kind stays (KINDS), then the first.
+    """
     if not text:
         return []
     found: list[Candidate] = []
@@ -86,11 +91,14 @@ def candidates(text: str | None) -> list[Candidate]:
                 found.append(Candidate(run.start() + known.start(), run.start() + known.end(), "token_format"))
             elif any(c.isdigit() for c in run[0]) and any(c.isalpha() for c in run[0]):
                 found.append(Candidate(run.start(), run.end(), "long_string"))
-    found.sort(key=lambda c: (c.start, -c.end))
     kept: list[Candidate] = []
-    for candidate in found:
-        if not kept or candidate.start >= kept[-1].end:
-            kept.append(candidate)
+    starts: list[int] = []
+    for candidate in sorted(found, key=lambda c: (KINDS.index(c.kind), c.start, -c.end)):
+        at = bisect(starts, candidate.start)
+        before, after = kept[at - 1 : at], kept[at : at + 1]
+        if not (before and before[0].end > candidate.start or after and after[0].start < candidate.end):
+            kept.insert(at, candidate)
+            starts.insert(at, candidate.start)
     return kept
 
 
@@ -197,7 +205,7 @@ def labelled_findings(words: list[str]) -> list[tuple[str, Candidate, bool]]:
         (False, lambda: "https://" + rng.choice(words) + ".org/" + "/".join(rng.choices(words, k=3)) + some(hexadecimal, 8, 24)),
         (False, identifier),
         (False, lambda: assigned(rng.choice(words) + rng.choice(words), name())),
-        (False, lambda: assigned(rng.choice(PLACEHOLDERS) + rng.choice(("", "_", "-")) + rng.choice(words), name())),
+        (False, lambda: assigned(rng.choice(PLACEHOLDERS) + rng.choice(("", "_", "-")) + rng.choice([*words, "", "me", "123"]), name())),
         (False, lambda: assigned(identifier(), name())),
         (False, lambda: prose(2) + rng.choice((" password: ", " token = ", " secret: ")) + prose(3)),
     ]
