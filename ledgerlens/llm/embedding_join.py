@@ -124,8 +124,8 @@ def _block_pairs(rows: DataFrame, eps: float) -> DataFrame:
     Blocks meet by the grid cells of the first axis that they reach, and stay together if their
     boxes on all leading axes are near enough.
     """
-    low = [F.min(F.col("place")[i]).alias(f"low{i}") for i in range(AXES)]
-    high = [F.max(F.col("place")[i]).alias(f"high{i}") for i in range(AXES)]
+    low = [F.min(F.get("place", F.lit(i))).alias(f"low{i}") for i in range(AXES)]
+    high = [F.max(F.get("place", F.lit(i))).alias(f"high{i}") for i in range(AXES)]
     boxes = rows.groupBy("dims", "label", "block").agg(
         *low, *high, F.min(F.col("cells")[0]).alias("from"), F.max(F.col("cells")[0]).alias("to")
     )
@@ -139,8 +139,8 @@ def _block_pairs(rows: DataFrame, eps: float) -> DataFrame:
         )
         for i in range(AXES)
     ]
-    # vectors shorter than AXES have no coordinate there
-    distance = sum((F.coalesce(gap * gap, F.lit(0.0)) for gap in gaps), F.lit(0.0))
+    # vectors shorter than AXES have no coordinate there, and no gap
+    distance = sum((gap * gap for gap in gaps), F.lit(0.0))
     meet = (
         (F.col("a.dims") == F.col("b.dims"))
         & (F.col("a.label") == F.col("b.label"))
