@@ -108,7 +108,8 @@ def _streams(bags: Bags) -> tuple[np.ndarray, ...]:
         low, width, level = low + width, max(1, low + width), level + 1
         at = at[bags.count[at] > low]
     if not rows:
-        return (np.zeros(0, dtype=np.int64),) * 4
+        none = np.zeros(0, dtype=np.int64)
+        return none, none.astype(np.uint64), none, none
     return tuple(np.concatenate(part) for part in (rows, keys, lows, widths))
 
 

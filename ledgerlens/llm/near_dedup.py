@@ -48,6 +48,8 @@ def _signed(docs: DataFrame) -> DataFrame:
                 shingles = [bags.shingle_hashes(hashes.of(w)) for w in words]
                 signature = bags.signatures(bags.Bags.of(shingles))
                 rows = np.array([bool(w) for w in words])
+                if not rows.any():
+                    continue
                 yield pd.DataFrame(
                     {
                         "doc_id": ids[start:end][rows],
