@@ -1,0 +1,33 @@
+import __spark_entry__ as registered
+import corpus_pipeline
+from ledgerlens.llm import queries, secret_scan
+from ledgerlens.sources.scratch import Scratch
+
+
+def test_stages_take_effect(spark, sf_dir):
+    scratch = Scratch(spark, "stages")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, counts, seen = docs.columns, [docs.count()], {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = seen[name] = scratch.table(stage(spark, docs, sf_dir), name)
+        counts.append(docs.count())
+        if name != "pieces":
+            assert docs.columns == columns
+    assert counts[0] > counts[1] > counts[2] == counts[3] and counts[4] == counts[5]
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    clean = labels.filter("toxic = 0").join(seen["toxicity"], "doc_id").count()
+    known = labels.filter("toxic = 0").join(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id").count()
+    assert clean > 0.97 * known
+    assert seen["secrets"].filter(f"text LIKE '%{secret_scan.REDACTED}%'").count() > 0
+    assert seen["secrets"].filter(r"text RLIKE 'token = \"[0-9a-f]{40}'").count() == 0
+    assert seen["pieces"].filter("NOT round_trip").count() == 0
+
+
+def test_run_and_registration(spark, sf_dir):
+    small = sf_dir.replace("sf0.01", "sf0.001")
+    assert corpus_pipeline.run(spark, small).count() > 0
+    names = registered.queries()
+    for number in range(1, 11):
+        assert sum(name.startswith(f"op{number}_") for name in names) == 1
+    assert set(queries.QUERIES) | {"pipeline"} <= set(names)
+    assert set(queries.ORACLE) <= set(queries.QUERIES)
