@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from ledgerlens.functions.measures import money_total  # noqa: E402
 from ledgerlens.operators import accounts, analytics, gold, quality, rules, silver  # noqa: E402
 from ledgerlens.plans.history import History  # noqa: E402
 from ledgerlens.plans.pipeline import (  # noqa: E402
@@ -26,7 +27,7 @@ from ledgerlens.plans.pipeline import (  # noqa: E402
 from ledgerlens.schema import TABLES  # noqa: E402
 from ledgerlens.sources.events import transactions_from_events, write_raw_csv  # noqa: E402
 from ledgerlens.sources.lake import Lake  # noqa: E402
-from ledgerlens.sources.raw_csv import read_raw, to_bronze  # noqa: E402
+from ledgerlens.sources.raw_csv import fixed_splits, read_raw, to_bronze  # noqa: E402
 from ledgerlens.sources.scratch import Scratch  # noqa: E402
 from oracle_queries import ORACLE  # noqa: E402
 
@@ -101,8 +102,10 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bronze(spark: SparkSession, sf_dir: str, sample_rows: int | None = None) -> DataFrame:
-    raw = read_raw(spark, _raw_csv(spark, sf_dir))
-    return to_bronze(raw, Scratch(spark, "bronze"), sample_rows).drop("ingested_at", "source_file")
+    with fixed_splits(spark):
+        raw = read_raw(spark, _raw_csv(spark, sf_dir))
+        bronze = to_bronze(raw, Scratch(spark, "bronze"), sample_rows)
+    return bronze.drop("ingested_at", "source_file")
 
 
 def _table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,12 +127,54 @@ def _on_activity(operator: Callable[[DataFrame], DataFrame]) -> Callable[..., Da
     return _on_silver(lambda transactions: operator(gold.activity(transactions)))
 
 
+def _on_part(operator: Callable[[DataFrame], DataFrame]) -> Callable[..., DataFrame]:
+    """The operator on some days and types."""
+    return _on_silver(
+        lambda transactions: operator(
+            analytics.filter_transactions(transactions, 5, 20, ("CASH_OUT", "TRANSFER"))
+        )
+    )
+
+
+def _read_back(name: str) -> Callable[..., DataFrame]:
+    """A table as the pipeline wrote it, without its clock times."""
+    return lambda spark, sf_dir: _lake(spark, sf_dir).table(name).drop(
+        "ingested_at", "quarantined_at"
+    )
+
+
 def _high_risk(transactions: DataFrame) -> DataFrame:
-    scratch = Scratch(transactions.sparkSession, "high-risk")
-    return gold.high_risk_accounts(accounts.fraud_account_metrics(transactions, scratch))
+    return gold.high_risk_accounts(accounts.fraud_account_metrics(transactions))
 
 
 _APPROXIMATE = ("approx_senders", "approx_receivers")
+
+
+def _approximate_counts_are_close(transactions: DataFrame) -> DataFrame:
+    """Whether each approximate count is within a tenth of the exact one."""
+    found = analytics.overview_metrics(transactions).select(*_APPROXIMATE)
+    exact = transactions.agg(
+        F.count_distinct("sender_account").alias("senders"),
+        F.count_distinct("receiver_account").alias("receivers"),
+    )
+    pair = found.join(exact, how="cross")  # one row each
+    return pair.select(
+        *[
+            (F.abs(F.col(f"approx_{side}") - F.col(side)) <= 0.1 * F.col(side)).alias(f"{side}_close")
+            for side in ("senders", "receivers")
+        ]
+    )
+
+
+def _amount_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Money totals far above and far below everyday amounts."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.groupBy("event_type").agg(
+        money_total(F.col("value") * F.lit(1e13)).alias("huge_total"),
+        money_total(F.col("value") * F.lit(1e-8)).alias("tiny_total"),
+    )
+
+
 _STRICT = rules.AlertRule(percentile=0.95, require_customer_receiver=True)
 
 
@@ -182,7 +227,7 @@ def _lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda transactions: analytics.overview_metrics(transactions).drop(*_APPROXIMATE)
         ),
         "overview_approx_distinct": _on_silver(
-            lambda transactions: analytics.overview_metrics(transactions).select(*_APPROXIMATE)
+            _approximate_counts_are_close
         ),
         "type_risk": _on_silver(analytics.type_risk),
         "daily_trend": _on_silver(analytics.daily_trend),
@@ -207,6 +252,13 @@ def _lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda transactions: rules.confusion(rules.rule_performance(transactions))
         ),
         "suspicious_transactions": _on_silver(rules.suspicious_transactions),
+        "filtered_type_risk": _on_part(analytics.type_risk),
+        "filtered_behavior_signals": _on_part(analytics.behavior_signals),
+        "filtered_amount_decile_risk": _on_part(analytics.amount_decile_risk),
+        "filtered_account_risk": _on_part(analytics.account_risk),
+        "filtered_rule_performance": _on_part(rules.rule_performance),
+        "amount_extremes": _amount_extremes,
+        **{f"lake_{name}": _read_back(name) for name in TABLES if name != "bronze_transactions"},
         "table_counts": _table_counts,
         "run_history": lambda spark, sf_dir: History(
             spark, _csv_lake(spark, sf_dir).root

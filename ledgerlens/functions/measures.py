@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Largest amount whose millionths are summed as integers; bigger ones, NaN and
-# infinity go into a plain double sum.
-EXACT_LIMIT = 1e12
+# Amounts are cut into limbs of six decimal digits, from 1e12 down to 1e-12, and each limb is
+# summed as a bigint; there is room for 9e12 rows.
+_LIMB = 1_000_000
+# A sum of two such decimals still has all twelve places.
+_SCALE = "decimal(37,12)"
+# Beyond this a double's whole part is no bigint; such amounts, NaN and infinity are summed as doubles.
+_LARGEST = 1e18
 
 
 def count_where(condition: Column) -> Column:
@@ -24,17 +28,34 @@ def round_to(x: Column, digits: int) -> Column:
 def money_parts(x: Column) -> tuple[Column, Column]:
     """Two aggregates that carry a sum of amounts: exact decimal total, double rest.
 
-    The exact one sums whole units and millionths as bigints. Integer sums do not depend
-    on the order of the tasks and stay in generated code, which a decimal sum does not.
-    The rest is NULL unless an amount is NaN, infinite or beyond EXACT_LIMIT.
-    Both can be summed again, so totals may be built from smaller totals.
+    The exact one sums limbs of the amounts as bigints. Integer sums do not depend on the
+    order of the tasks and stay in generated code, which a decimal sum does not. The rest is
+    NULL unless an amount is NaN, infinite, or 1e18 and more. Both can be summed again, so
+    totals may be built from smaller totals.
     """
-    fits = F.abs(x) < F.lit(EXACT_LIMIT)
-    whole = F.floor(x)
-    millionths = F.floor((x - whole) * F.lit(1e6) + F.lit(0.5))
-    units = F.sum(F.when(fits, whole)).cast("decimal(20,0)")
-    fraction = F.sum(F.when(fits, millionths)).cast("decimal(20,0)")
-    exact = units + fraction * F.lit("0.000001").cast("decimal(6,6)")
+    fits = F.abs(x) < F.lit(_LARGEST)
+    size = F.when(fits, F.abs(x))
+    sign = F.when(x < 0, F.lit(-1)).otherwise(F.lit(1))
+    whole = F.floor(size)
+    # a product with a million is rounded in the 17th digit at most, far below the last limb
+    fraction = (size - whole) * F.lit(float(_LIMB))
+    upper = F.floor(fraction)
+    lower = F.floor((fraction - upper) * F.lit(float(_LIMB)) + F.lit(0.5))
+    # quotients may be off by one, differences are exact, so the limbs always add up
+    high = F.floor(whole / F.lit(float(_LIMB**2)))
+    rest = whole - high * F.lit(_LIMB**2)
+    middle = F.floor(rest / F.lit(float(_LIMB)))
+    limbs = {
+        ("1000000000000", "decimal(13,0)"): high,
+        ("1000000", "decimal(7,0)"): middle,
+        ("1", "decimal(1,0)"): rest - middle * F.lit(_LIMB),
+        ("0.000001", "decimal(6,6)"): upper,
+        ("0.000000000001", "decimal(12,12)"): lower,
+    }
+    exact = None
+    for (unit, kind), limb in limbs.items():
+        part = (F.sum(sign * limb).cast("decimal(20,0)") * F.lit(unit).cast(kind)).cast(_SCALE)
+        exact = part if exact is None else (exact + part).cast(_SCALE)
     return exact, F.sum(F.when(~fits, x))
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.measures import count_where, money_mean, money_total, money_total_where
-from ledgerlens.sources.scratch import Scratch
 
 
 def account_events(transactions: DataFrame) -> DataFrame:
@@ -45,17 +44,12 @@ def account_metrics(events: DataFrame) -> DataFrame:
     )
 
 
-def fraud_account_metrics(transactions: DataFrame, scratch: Scratch) -> DataFrame:
+def fraud_account_metrics(transactions: DataFrame) -> DataFrame:
     """account_metrics of the accounts that touch a fraud.
 
-    They are looked up first and written down, so Spark sees how many they are: it then
-    drops all other events before the shuffle with a broadcast, or shuffles if the list
-    is too long for that.
+    Events combine per task before anything is shuffled, so a hot account costs one row per
+    task; no raw event is shuffled, however many accounts there are.
     """
-    suspects = scratch.table(
-        account_events(transactions.filter("is_fraud")).select("account_id").distinct(),
-        "fraud-accounts",
-    )
-    return account_metrics(
-        account_events(transactions).join(suspects, "account_id", "left_semi")
+    return account_metrics(account_events(transactions)).filter(
+        F.col("fraud_transactions_touched") > 0
     )

@@ -27,10 +27,10 @@ def score_quality(bronze: DataFrame, scratch: Scratch | None = None) -> DataFram
     parsed = {
         "parsed_step": tolerant_int(bronze, "step"),
         "normalized_transaction_type": F.upper(F.trim(F.col("type").cast("string"))),
-        "parsed_amount": tolerant_double("amount"),
+        "parsed_amount": tolerant_double(bronze, "amount"),
         "sender_account": blank_to_null(F.col("nameOrig")),
         "receiver_account": blank_to_null(F.col("nameDest")),
-        **{f"parsed_{name}": tolerant_double(name) for name in _BALANCES},
+        **{f"parsed_{name}": tolerant_double(bronze, name) for name in _BALANCES},
         "parsed_isFraud": tolerant_int(bronze, "isFraud"),
         "parsed_isFlaggedFraud": tolerant_int(bronze, "isFlaggedFraud"),
     }

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 from typing import Any
 
@@ -11,6 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.sources.lake import is_absent
+
 RUN_COUNTS = ("bronze_rows", "quarantine_rows", "silver_rows", "gold_daily_rows")
 SHOWN_RUNS = 10
 
@@ -41,31 +44,36 @@ class History:
     def _read(self, path: str, schema: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException:
+        except AnalysisException as error:
+            if not is_absent(error):
+                raise
             return self.spark.createDataFrame([], schema)
 
     def _append_event(self, **values: Any) -> None:
         row = self.spark.createDataFrame([{"event_at": _now(), **values}], _EVENT_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self.events_path)
 
-    def start_run(self, raw_file: str, sample_rows: int | None = None) -> str:
-        run_id = str(uuid.uuid4())
+    @contextmanager
+    def recorded(self, raw_file: str, sample_rows: int | None = None) -> Iterator[dict[str, Any]]:
+        """Record a run around a block, which fills in the counts it is given.
+
+        Leaving the block by an error records the error and the counts so far, and raises it.
+        """
+        counts: dict[str, Any] = {"run_id": str(uuid.uuid4()), "raw_file": raw_file}
+        run = {"run_id": counts["run_id"]}
         self._append_event(
-            run_id=run_id, event="start", status="RUNNING", raw_file=raw_file,
-            sample_rows=sample_rows,
+            **run, event="start", status="RUNNING", raw_file=raw_file, sample_rows=sample_rows
         )
-        return run_id
-
-    def finish_run(
-        self,
-        run_id: str,
-        status: str,
-        metrics: Mapping[str, Any] | None = None,
-        notes: str | None = None,
-    ) -> None:
-        metrics = metrics or {}
-        counts = {name: metrics.get(name) for name in RUN_COUNTS}
-        self._append_event(run_id=run_id, event="finish", status=status, notes=notes, **counts)
+        status, notes = "FAILED", None
+        try:
+            yield counts
+            status = "SUCCESS"
+        except BaseException as error:
+            notes = str(error)
+            raise
+        finally:
+            known = {name: counts.get(name) for name in RUN_COUNTS}
+            self._append_event(**run, event="finish", status=status, notes=notes, **known)
 
     def runs(self) -> DataFrame:
         """One row per run: its start joined with its latest finish, if any."""

@@ -108,16 +108,9 @@ def run_pipeline(
     A missing raw file is noticed before the run is recorded and leaves no trace.
     """
     source = find_raw_file(spark, root.rstrip("/"), raw_file)
-    history = History(spark, root)
-    run_id = history.start_run(source, sample_rows)
-    metrics: dict[str, int | str] = {"run_id": run_id, "raw_file": source}
-    try:
-        metrics.update(run_ingest(spark, root, source, sample_rows, schema, mode))
+    with History(spark, root).recorded(source, sample_rows) as counts:
+        counts |= run_ingest(spark, root, source, sample_rows, schema, mode)
         scored = scored_bronze(spark, root)
-        metrics.update(run_quality(spark, root, scored))
-        metrics.update(run_transform(spark, root, scored))
-    except Exception as error:
-        history.finish_run(run_id, "FAILED", metrics, notes=str(error))
-        raise
-    history.finish_run(run_id, "SUCCESS", metrics)
-    return metrics
+        for stage in (run_quality, run_transform):
+            counts |= stage(spark, root, scored)
+    return counts

@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from ledgerlens.schema import REPORT_TABLES, TABLES
 
 
+def is_absent(error: AnalysisException) -> bool:
+    """Whether reading failed because nothing is there, not because it is broken."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 class Lake:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
@@ -23,7 +28,9 @@ class Lake:
         try:
             df = self.spark.read.parquet(path)
         except AnalysisException as error:
-            raise FileNotFoundError(f"Missing table output: {path}") from error
+            if is_absent(error):
+                raise FileNotFoundError(f"no table {name} in {path}") from error
+            raise
         key = TABLES[name].partition_by
         return df.withColumn(key, F.col(key).cast("int")) if key else df
 

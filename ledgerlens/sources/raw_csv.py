@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlens.sources.lake import is_absent
 from ledgerlens.sources.scratch import Scratch
 
 # One row per input split; a million splits of 128 MB are 128 TB of CSV and make a
@@ -24,7 +25,7 @@ def find_raw_file(spark: SparkSession, root: str, raw_file: str | None = None) -
     if raw_file:
         if _files(spark, raw_file):
             return raw_file
-        raise FileNotFoundError(f"Raw file not found: {raw_file}")
+        raise FileNotFoundError(f"nothing to load at {raw_file}")
     for pattern in (f"{root}/raw/*.csv", f"{root}/*.csv"):
         files = _files(spark, pattern)
         if files:
@@ -37,7 +38,9 @@ def find_raw_file(spark: SparkSession, root: str, raw_file: str | None = None) -
 def _files(spark: SparkSession, path: str) -> list[str]:
     try:
         return sorted(spark.read.text(path).inputFiles())
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_absent(error):
+            raise
         return []
 
 
@@ -50,7 +53,8 @@ def read_raw(
     """Scan a CSV file or folder with a header line.
 
     Without a schema the types are inferred over the whole input, which costs one more
-    pass; pass schema.RAW_SCHEMA for large inputs. FAILFAST refuses rows with a wrong
+    pass; pass schema.RAW_SCHEMA for large inputs. Its columns are found by the names in the
+    header, which further files must repeat in the same order. FAILFAST refuses rows with a wrong
     number of fields, PERMISSIVE pads or cuts them.
     """
     if mode not in ("FAILFAST", "PERMISSIVE"):
@@ -58,7 +62,18 @@ def read_raw(
     reader = spark.read.option("header", True).option("mode", mode)
     if schema is None:
         return reader.option("inferSchema", True).option("samplingRatio", 1.0).csv(path)
-    return reader.schema(schema).csv(path)
+    return reader.option("enforceSchema", False).schema(_by_header(spark, path, schema)).csv(path)
+
+
+def _by_header(spark: SparkSession, path: str, schema: StructType) -> StructType:
+    """The schema's fields in the order of the file's header, which must name just these."""
+    header = spark.read.option("header", True).csv(path).columns
+    unknown, missing = set(header) - set(schema.names), set(schema.names) - set(header)
+    if unknown or missing:
+        raise ValueError(
+            f"header of {path}: unknown columns {sorted(unknown)}, missing {sorted(missing)}"
+        )
+    return StructType([schema[name] for name in header])
 
 
 @contextmanager

@@ -193,6 +193,6 @@ def test_account_ranking_on_skewed_data(spark):
 def test_high_risk_accounts_agree_with_all_account_metrics(spark):
     df = transactions(spark, ROWS)
     every = gold.high_risk_accounts(accounts.account_metrics(accounts.account_events(df)))
-    narrowed = gold.high_risk_accounts(accounts.fraud_account_metrics(df, Scratch(spark, "t")))
+    narrowed = gold.high_risk_accounts(accounts.fraud_account_metrics(df))
     assert every.collect() == narrowed.collect()
     assert [row["account_id"] for row in every.collect()] == ["C1", "C2"]

@@ -79,18 +79,31 @@ def test_missing_raw_file_leaves_no_trace(spark, tmp_path):
 
 def test_runs_show_their_latest_state(spark, tmp_path):
     history = History(spark, str(tmp_path))
-    first = history.start_run("a.csv", 10)
-    second = history.start_run("b.csv")
-    history.finish_run(first, "FAILED", {"bronze_rows": 5}, notes="disk full")
-    history.finish_run(first, "SUCCESS", {"bronze_rows": 7})
+    with history.recorded("a.csv", 10) as counts:
+        (running,) = history.runs().collect()
+        assert running["status"] == "RUNNING" and running["finished_at"] is None
+        counts["bronze_rows"] = 7
+    with pytest.raises(OSError, match="disk full"), history.recorded("b.csv") as failing:
+        failing["bronze_rows"] = 5
+        raise OSError("disk full")
     runs = {row["run_id"]: row for row in history.runs().collect()}
-    assert runs[first]["status"] == "SUCCESS" and runs[first]["bronze_rows"] == 7
-    assert runs[first]["notes"] is None and runs[first]["sample_rows"] == 10
-    assert runs[second]["status"] == "RUNNING" and runs[second]["finished_at"] is None
+    first, second = runs[counts["run_id"]], runs[failing["run_id"]]
+    assert first["status"] == "SUCCESS" and first["bronze_rows"] == 7
+    assert first["notes"] is None and first["sample_rows"] == 10
+    assert second["status"] == "FAILED" and second["bronze_rows"] == 5 and second["notes"] == "disk full"
     for i in range(10):
-        history.start_run(f"{i}.csv")
+        with history.recorded(f"{i}.csv"):
+            pass
     recent = history.recent_runs().collect()
-    assert len(recent) == 10 and first not in {row["run_id"] for row in recent}
+    assert len(recent) == 10 and counts["run_id"] not in {row["run_id"] for row in recent}
+
+
+def test_broken_history_is_not_taken_for_an_empty_one(spark, tmp_path):
+    history = History(spark, str(tmp_path))
+    (tmp_path / "history" / "quality_results").mkdir(parents=True)
+    (tmp_path / "history" / "quality_results" / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        history.quality_results().count()
 
 
 def test_old_results_without_run_id_are_read(spark, tmp_path):
