@@ -4,8 +4,8 @@
 2. Signatures of the classes are cut into bands; classes that share a band's hash meet.
 3. In every such bucket all members are compared with its smallest one, first each member
    with the bucket leader it meets most often, then with the other leaders it is not yet linked to.
-4. In buckets whose members are still not all linked, blocks of members are compared pair by
-   pair on one byte per slot, and pairs that look similar enough are verified as well.
+4. In buckets whose members are still not all linked, blocks of members are compared with each
+   other in one task each: first on one byte per slot, then, if that looks similar enough, exactly.
 
 A pair is verified on the exact overlap of the multisets of five-word shingles. Links make
 components. No bucket is gathered in one task and no dense group gives all its pairs.
@@ -119,15 +119,14 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return both.filter("_u != _v").drop("_u", "_v")
 
 
-def _bucket_pairs(members: DataFrame, groups: DataFrame, estimate: float) -> DataFrame:
-    """Similar looking pairs of different components from buckets that hold several of them.
+def _mixed_buckets(met: DataFrame, groups: DataFrame) -> DataFrame:
+    """key, band, blocks of the buckets of three or more whose members are not all linked.
 
-    members: key, doc_id, sketch of buckets of three or more. Each bucket is cut into blocks by
-    hash, and each pair of blocks is worked on by itself. Buckets of the same members count once.
+    Buckets of the same members count once, in their lowest band.
     """
-    labelled = _labelled(members.select("key", "doc_id"), groups, "doc_id", "component")
-    mixed = (
-        labelled.groupBy("key")
+    return (
+        _labelled(met.filter("n > 2").select("key", "band", "doc_id"), groups, "doc_id", "component")
+        .groupBy("key", "band")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.bit_xor(F.xxhash64("doc_id")).alias("mark"),
@@ -135,41 +134,57 @@ def _bucket_pairs(members: DataFrame, groups: DataFrame, estimate: float) -> Dat
             F.max("component").alias("high"),
         )
         .filter("low != high")
-        .groupBy("n", "mark").agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
+        .groupBy("n", "mark").agg(F.min(F.struct("band", "key")).alias("b"))
+        .select("b.key", "b.band", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
     )
-    sketches = members.select("key", "doc_id", "sketch")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+
+
+def _bucket_links(
+    members: DataFrame, groups: DataFrame, classes: DataFrame, items: DataFrame, threshold: float
+) -> DataFrame:
+    """Links (u, v) between different components in buckets that hold several of them.
+
+    members: key, band, blocks, doc_id. Each bucket is cut into blocks by hash, and each pair of
+    blocks is worked on by itself. A pair is looked at in the first band in which it meets, and
+    verified if its sketches look alike; only links that join something are returned.
+    """
+    least = LEAST_ESTIMATE
     dealt = (
-        labelled.join(mixed, "key")
-        .join(sketches, ["key", "doc_id"])
-        .withColumn("own", own)
+        _labelled(members, groups, "doc_id", "component")
+        .join(classes.select("doc_id", "bands", "sketch"), "doc_id")
+        .join(items, "doc_id")
+        .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "key", "doc_id", "component", "sketch", "own",
+            "key", "band", "doc_id", "component", "bands", "sketch", "items", "own",
             F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         )
     )
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         sketch = np.frombuffer(b"".join(group["sketch"]), dtype=np.uint8).reshape(len(group), -1)
-        ids, component = group["doc_id"].to_numpy(), group["component"].to_numpy()
-        own, split = group["own"].to_numpy(), group["i"].iloc[0] != group["j"].iloc[0]
-        us, vs = [], []
+        earlier = np.stack(group["bands"].to_numpy())[:, : group["band"].iloc[0]]
+        ids, own = group["doc_id"].to_numpy(), group["own"].to_numpy()
+        component = group["component"].to_numpy().copy()
+        numbers = [bags.unpacked(data) for data in group["items"]]
+        sizes = np.array([len(n) for n in numbers])
+        split = group["i"].iloc[0] != group["j"].iloc[0]
+        found = []
         for at in range(len(group)):
-            other = (component != component[at]) & (ids > ids[at])
+            fits = (component != component[at]) & (ids > ids[at])
+            fits &= np.minimum(sizes, sizes[at]) >= threshold * np.maximum(sizes, sizes[at])
             if split:
-                other &= own != own[at]
-            other = np.flatnonzero(other)
-            if len(other):
-                alike = (sketch[other] == sketch[at]).mean(axis=1) >= estimate
-                vs.append(ids[other[alike]])
-                us.append(np.full(int(alike.sum()), ids[at]))
-        return pd.DataFrame(
-            {"u": np.concatenate(us) if us else [], "v": np.concatenate(vs) if vs else []}
-        ).astype("int64")
+                fits &= own != own[at]
+            other = np.flatnonzero(fits)
+            other = other[~(earlier[other] == earlier[at]).any(axis=1)]
+            alike = (sketch[other] == sketch[at]).mean(axis=1)
+            for to in other[np.argsort(-alike, kind="stable")][: int((alike >= least).sum())]:
+                if component[to] != component[at] and bags.similarity(numbers[at], numbers[to]) >= threshold:
+                    found.append((ids[at], ids[to]))
+                    component[component == component[to]] = component[at]
+        return pd.DataFrame(found, columns=["u", "v"]).astype("int64")
 
-    return dealt.groupBy("key", "i", "j").applyInPandas(compare, "u long, v long").distinct()
+    return dealt.groupBy("key", "band", "i", "j").applyInPandas(compare, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -192,14 +207,14 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     )
     classes = scratch.table(chosen.select("digest", "c.*"), "classes")
 
-    entries = classes.select("doc_id", F.explode("bands").alias("key"))
+    entries = classes.select("doc_id", F.posexplode("bands").alias("band", "key"))
     buckets = (
         entries.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("leader"))
         .filter("n > 1")
     )
     met = scratch.table(
-        entries.join(buckets, "key").select("key", "n", "leader", "doc_id"), "met"
+        entries.join(buckets, "key").select("key", "band", "n", "leader", "doc_id"), "met"
     )
     sizes = classes.select("doc_id", "weight")
 
@@ -232,16 +247,13 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     if not more.isEmpty():
         groups = scratch.table(components(links, scratch), "groups")
 
-    large = met.filter("n > 2").select("key", "doc_id").join(
-        classes.select("doc_id", "sketch"), "doc_id"
-    )
-    looks_alike = near_in_size(_bucket_pairs(large, groups, LEAST_ESTIMATE))
-    rest = scratch.table(looks_alike.join(stars, ["u", "v"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        ids = rest.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-        missing = ids.join(items, "doc_id", "left_anti").join(digests, "doc_id")
-        items = items.unionByName(scratch.table(_items(docs, missing), "items"))
-        more = scratch.table(_verified(rest, items, threshold), "links")
+    mixed = met.select("key", "doc_id").join(_mixed_buckets(met, groups), "key")
+    mixed = scratch.table(mixed, "mixed")
+    if not mixed.isEmpty():
+        ids = mixed.select("doc_id").distinct().join(items, "doc_id", "left_anti")
+        extra = scratch.table(_items(docs, ids.join(digests, "doc_id")), "items")
+        more = _bucket_links(mixed, groups, classes, items.unionByName(extra), threshold)
+        more = scratch.table(more, "links")
         if not more.isEmpty():
             groups = scratch.table(components(links.unionByName(more), scratch), "groups")
 
