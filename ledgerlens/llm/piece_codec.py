@@ -33,9 +33,11 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Longer texts are cut into chunks of so many characters.
 CHUNK_CHARS = 32768
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 NEVER = float("-inf")
-CACHED_PAIRS = 2_000_000
+CACHED_PAIRS = 200_000
+#: Texts whose tokens are handed over at once.
+ROWS_AT_ONCE = 256
 #: Longer words are encoded as a path, whose work grows with the length alone.
 LONGEST_MERGED = 48
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -415,35 +417,48 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     table = PieceTable.load(model_file)
     scratch = Scratch(docs.sparkSession, "pieces")
     giant = F.length("text") > CHUNK_CHARS
-    base = docs.select("doc_id", "text")
+    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
-    @F.pandas_udf("array<int>")
-    def short(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec(table)
-        for batch in batches:
-            yield pd.Series([np.frombuffer(codec.encode(t), dtype=np.int32) for t in batch])
+        for whole in batches:
+            for at in range(0, len(whole), ROWS_AT_ONCE):
+                batch = whole.iloc[at : at + ROWS_AT_ONCE]
+                ids = [codec.encode(text) for text in batch["text"]]
+                yield _result(codec, batch, ids)
 
-    @F.pandas_udf("boolean")
-    def decodes(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec(table)
-        for ids, texts in batches:
-            yield pd.Series(
-                [None if t is None else codec.decode(i.tolist()) == t for i, t in zip(ids, texts)],
-                dtype=object,
-            )
+        for whole in batches:
+            for at in range(len(whole)):
+                batch = whole.iloc[at : at + 1]
+                yield _result(codec, batch, [array("i", ids) for ids in batch["token_ids"]])
 
-    encoded = base.filter(~F.coalesce(giant, F.lit(False))).withColumn("token_ids", short("text"))
+    encoded = base.filter(~F.coalesce(giant, F.lit(False))).mapInPandas(short, RESULT)
     giants = scratch.table(
         base.filter(giant).withColumn("row", F.monotonically_increasing_id()), "giants"
     )
-    if not giants.isEmpty():
-        long_ones = giants.join(_encoded_giants(giants, table, scratch), "row")
-        encoded = encoded.unionByName(long_ones.select("doc_id", "text", "token_ids"))
-    return encoded.select(
-        "doc_id",
-        F.size("token_ids").alias("n_tokens"),
-        "token_ids",
-        decodes("token_ids", "text").alias("round_trip"),
+    if giants.isEmpty():
+        return encoded
+    traced = giants.join(_encoded_giants(giants, table, scratch), "row")
+    return encoded.unionByName(traced.mapInPandas(check, RESULT))
+
+
+RESULT = "doc_id long, n_tokens int, token_ids array<int>, round_trip boolean"
+
+
+def _result(codec: Codec, batch: pd.DataFrame, ids: list[array]) -> pd.DataFrame:
+    back = [
+        None if text is None else codec.decode(numbers) == text
+        for text, numbers in zip(batch["text"], ids, strict=True)
+    ]
+    return pd.DataFrame(
+        {
+            "doc_id": batch["doc_id"].astype("Int64").array,
+            "n_tokens": [len(numbers) for numbers in ids],
+            "token_ids": [np.frombuffer(numbers, dtype=np.int32) for numbers in ids],
+            "round_trip": pd.Series(back, dtype=object),
+        }
     )
 
 
