@@ -24,8 +24,8 @@ BANDS = 32
 ROWS = 5
 SLOTS = BANDS * ROWS
 #: Words that are worked on at once, but for a longer single text.
-BATCH_WORDS = 1_000_000
-CACHED_WORDS = 400_000
+BATCH_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 # Multipliers of the public splitmix64 mixing function.
 STEP = np.uint64(0x9E3779B97F4A7C15)
