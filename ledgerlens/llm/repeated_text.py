@@ -139,7 +139,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn(
         "mark", F.xxhash64("text")
     )
-    joined = rows.join(spans, F.expr("mark = _mark AND doc_id <=> _id"), "left")
+    # merged at any size, so that the plan does not turn when the list outgrows a broadcast
+    joined = rows.join(spans.hint("merge"), F.expr("mark = _mark AND doc_id <=> _id"), "left")
     removed = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>"))
     # what stands before the first span, between spans, and after the last one
     starts = F.concat(F.array(F.lit(0)), F.col("removed.end"))
