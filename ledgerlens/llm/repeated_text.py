@@ -1,8 +1,12 @@
-"""Remove passages that stand elsewhere already: hashing of lines and their sentences.
+"""Remove passages that stand elsewhere already: hashing of lines, their sentences, and words.
 
 A text is cut into units, the sentences of its lines. Units are normalised and hashed; digests
 are grouped over the corpus, and of equal units the earliest ranked (smallest doc_id, then
-earliest place) stays. Stretches of later units are removed if they hold enough words. What
+earliest place) stays. Stretches of later units are removed if they hold enough words.
+
+What is left is compared by words, wherever sentences begin and end: any LEAST_WORDS words in a
+row that stand earlier as well are removed. Winnowing marks the places to look at (two equal
+windows always share a mark), windows around repeated marks are hashed at every word. What
 stays is unchanged, and the removed spans carry their offsets in the original text.
 """
 
@@ -14,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.sources.scratch import Scratch
@@ -25,7 +29,16 @@ UNIT_WORDS = 5
 LEAST_WORDS = 25
 UNIT = re.compile(r"\S(?:[^\n]*?[.!?…。！？]+(?=\s|\Z)|[^\n]*)")
 
+#: Words of a mark; of the marks that fit into LEAST_WORDS words the one of lowest hash is taken.
+MARK_WORDS = 10
+MARKS = LEAST_WORDS - MARK_WORDS + 1
+WORD_CACHE = 300_000
+
+WORD = re.compile(r"\S+")
+
 UNITS = "doc_id long, mark long, number int, start int, end int, words int, high long, low long"
+MARK_ROWS = "doc_id long, mark long, start int, end int, value long"
+WINDOWS = "doc_id long, mark long, start int, end int, high long, low long"
 
 
 def units_of(text: str) -> list[tuple[int, int, list[str]]]:
@@ -80,23 +93,244 @@ def stretches(units: list[tuple[int, int, int, int]], total: list[int] | None =
     return spans
 
 
+class _WordHashes(dict):
+    """64-bit hashes of words, kept while they are few."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= WORD_CACHE:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+def words_of(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words in lower case, their starts and their ends."""
+    found = [(m.start(), m.end()) for m in WORD.finditer(text)]
+    places = np.array(found, dtype=np.int32).reshape(-1, 2)
+    return [text[a:b].lower() for a, b in found], places[:, 0], places[:, 1]
+
+
+def marked_words(words: list[str], hashes: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """First words and hashes of the marks: every LEAST_WORDS words in a row hold one, the same wherever they stand."""
+    if len(words) < LEAST_WORDS:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    n = len(words) - MARK_WORDS + 1
+    mixed = np.zeros(n, np.uint64)
+    for i in range(MARK_WORDS):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + values[i : i + n]
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    mixed ^= mixed >> np.uint64(32)
+    lowest = np.lib.stride_tricks.sliding_window_view(mixed, MARKS).argmin(axis=1)
+    at = np.unique(lowest + np.arange(len(lowest)))
+    return at, mixed[at].view(np.int64)
+
+
+def _marks(docs: DataFrame) -> DataFrame:
+    """Marks of every text with their offsets."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = _WordHashes()
+        for batch in batches:
+            for doc_id, mark, text in zip(batch["doc_id"], batch["mark"], batch["text"], strict=True):
+                words, starts, ends = words_of(text)
+                at, values = marked_words(words, hashes)
+                if len(at):
+                    frame = pd.DataFrame({"start": starts[at], "end": ends[at + MARK_WORDS - 1], "value": values})
+                    doc_id = None if pd.isna(doc_id) else int(doc_id)
+                    yield frame.assign(doc_id=pd.Series([doc_id] * len(at), dtype="Int64"), mark=mark)
+
+    return docs.mapInPandas(_joined(cut), MARK_ROWS)
+
+
+def _joined(cut):
+    """cut with its small frames put together."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frames, rows = [], 0
+        for frame in cut(batches):
+            frames.append(frame)
+            rows += len(frame)
+            if rows > 100_000:
+                yield pd.concat(frames, ignore_index=True)
+                frames, rows = [], 0
+        if frames:
+            yield pd.concat(frames, ignore_index=True)
+
+    return run
+
+
+def window_places(words: list[str], starts: np.ndarray, ends: np.ndarray, marks: list[int], removed: list[tuple[int, int]]) -> list[int]:
+    """First words of the windows of LEAST_WORDS words that hold one of the marks (by start) and no removed word."""
+    n = len(words) - LEAST_WORDS + 1
+    if n <= 0:
+        return []
+    wanted = np.zeros(len(words) + 1, dtype=np.int64)
+    at = np.searchsorted(starts, np.asarray(marks))
+    np.add.at(wanted, np.maximum(at - MARKS + 1, 0), 1)
+    np.add.at(wanted, at + 1, -1)
+    gone = np.zeros(len(words) + 1, dtype=np.int64)
+    for start, end in removed:
+        gone[np.searchsorted(ends, start, "right") + 1 : np.searchsorted(starts, end) + 1] = 1
+    gone = np.cumsum(gone)
+    return np.flatnonzero((np.cumsum(wanted)[:n] > 0) & (gone[LEAST_WORDS:] == gone[:n])).tolist()
+
+
+def _windows(texts: DataFrame) -> DataFrame:
+    """Windows of the texts around their repeated marks, with the digest of their words."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for doc_id, mark, text, marks, spans in zip(
+                batch["doc_id"], batch["mark"], batch["text"], batch["marks"], batch["spans"], strict=True
+            ):
+                words, starts, ends = words_of(text)
+                removed = [] if spans is None else [(s["start"], s["end"]) for s in spans]
+                at = window_places(words, starts, ends, marks, removed)
+                if at:
+                    digests = [xxhash.xxh3_128_digest(" ".join(words[i : i + LEAST_WORDS])) for i in at]
+                    halves = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
+                    first = np.array(at)
+                    frame = pd.DataFrame({"start": starts[first], "end": ends[first + LEAST_WORDS - 1], "high": halves[:, 0], "low": halves[:, 1]})
+                    doc_id = None if pd.isna(doc_id) else int(doc_id)
+                    yield frame.assign(doc_id=pd.Series([doc_id] * len(at), dtype="Int64"), mark=mark)
+
+    return texts.mapInPandas(_joined(cut), WINDOWS)
+
+
+def uncovered(later: list[tuple[int, int]], kept: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the spans of later cover and those of kept do not, as spans in order."""
+    events = [(a, 0, 1) for a, _ in later] + [(b, 0, -1) for _, b in later]
+    events += [(a, 1, 1) for a, _ in kept] + [(b, 1, -1) for _, b in kept]
+    depth, spans, since = [0, 0], [], None
+    events.sort()
+    for i, (place, which, step) in enumerate(events):
+        depth[which] += step
+        if i + 1 < len(events) and events[i + 1][0] == place:
+            continue
+        open_ = depth[0] > 0 and depth[1] == 0
+        if open_ and since is None:
+            since = place
+        elif not open_ and since is not None:
+            spans.append((since, place))
+            since = None
+    return spans
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.filter("text IS NOT NULL").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), "text"
+    )
+
+
+def _keyed(spans: DataFrame) -> DataFrame:
+    return spans.withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
+
+
+SAME_TEXT = "mark = _mark AND doc_id <=> _id"
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, mark (hash of the text) and spans of the texts that have passages to remove."""
     scratch = Scratch(docs.sparkSession, "repeats")
-    texts = docs.filter("text IS NOT NULL").select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), "text"
-    )
+    texts = _texts(docs)
     units = scratch.table(_units(texts), "units")
-    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "mark", "start")
-    first = (
-        units.groupBy("high", "low")
+    first = scratch.table(_first_of_repeated(units), "first")
+    sentences = _sentence_spans(units, first, scratch)
+    words = _word_spans(texts, units, first, sentences, scratch)
+    found = sentences.unionByName(words).groupBy("doc_id", "mark")
+    return scratch.table(found.agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")), "all")
+
+
+def _place() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "mark", "start")
+
+
+def _first_of_repeated(rows: DataFrame) -> DataFrame:
+    """Digests (high, low) that stand at two places or more, with the first place."""
+    place = _place()
+    return (
+        rows.groupBy("high", "low")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .filter("first != last")
         .select("high", "low", "first")
     )
+
+
+def _word_spans(texts: DataFrame, units: DataFrame, first: DataFrame, removed: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id, mark and spans of repeated words outside of the removed spans.
+
+    Of equal windows the first keeps all its words; they stay even where another window covers
+    them that is a later one. A whole sentence that stands nowhere earlier as a sentence of its
+    own stays too, so that no sentence is lost from the corpus.
+    """
+
+    def repeated(marks: DataFrame) -> DataFrame:
+        values = marks.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
+        return marks.join(values.hint("merge"), "value", "left_semi")
+
+    inside = "NOT exists(coalesce(spans, array()), s -> s.start < end AND start < s.end)"
+    left = (
+        repeated(scratch.table(_marks(texts), "marks"))
+        .join(_keyed(removed).hint("merge"), F.expr(SAME_TEXT), "left")
+        .filter(inside)
+        .select("doc_id", "mark", "start", "value")
+    )
+    near = repeated(scratch.table(left, "left")).groupBy("doc_id", "mark").agg(F.collect_set("start").alias("marks"))
+    around = _keyed(near).join(
+        removed.hint("merge"), F.expr(SAME_TEXT), "left"
+    ).select("_id", "_mark", "marks", "spans")
+    wide = texts.join(around.hint("merge"), F.expr(SAME_TEXT)).select("doc_id", "mark", "text", "marks", "spans")
+    windows = scratch.table(_windows(wide), "windows")
+    span = F.struct("start", "end")
+    later = ~_place().eqNullSafe(F.col("first"))
+    per_text = (
+        windows.join(_first_of_repeated(windows), ["high", "low"])
+        .select("doc_id", "mark", span.alias("span"), later.alias("later"))
+        .groupBy("doc_id", "mark")
+        .agg(
+            F.collect_set(F.when(F.col("later"), F.col("span"))).alias("later"),
+            F.collect_set(F.when(~F.col("later"), F.col("span"))).alias("kept"),
+        )
+        .filter(F.size("later") > 0)
+    )
+
+    @F.pandas_udf("array<struct<start:int,end:int>>")
+    def spans(later: pd.Series, kept: pd.Series) -> pd.Series:
+        def pairs(windows: list) -> list[tuple[int, int]]:
+            return [(w["start"], w["end"]) for w in windows]
+
+        return pd.Series(
+            [
+                [{"start": start, "end": end} for start, end in uncovered(pairs(a), pairs(b))]
+                for a, b in zip(later, kept, strict=True)
+            ]
+        )
+
+    found = per_text.select("doc_id", "mark", spans("later", "kept").alias("spans"))
+    found = scratch.table(found.filter(F.size("spans") > 0), "covered")
+    whole = (
+        units.join(_keyed(found).hint("merge"), F.expr(SAME_TEXT))
+        .filter("exists(spans, s -> s.start <= start AND end <= s.end)")
+        .select("doc_id", "mark", "start", "end", "high", "low")
+    )
+    own = (
+        whole.join(first, ["high", "low"], "left")
+        .filter(F.col("first").isNull() | _place().eqNullSafe(F.col("first")))
+        .groupBy("doc_id", "mark")
+        .agg(F.collect_set(span).alias("own"))
+    )
+    judged = found.join(_keyed(own).hint("merge"), F.expr(SAME_TEXT), "left")
+    own_spans = F.coalesce("own", F.array().cast("array<struct<start:int,end:int>>"))
+    found = judged.select("doc_id", "mark", spans("spans", own_spans).alias("spans"))
+    return scratch.table(found.filter(F.size("spans") > 0), "word_spans")
+
+
+def _sentence_spans(units: DataFrame, first: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id, mark and spans of repeated whole sentences."""
     judged = units.join(first, ["high", "low"], "left").select(
         "doc_id", "mark", "number", "start", "end", "words",
-        (F.col("first").isNotNull() & ~place.eqNullSafe(F.col("first"))).alias("later"),
+        (F.col("first").isNotNull() & ~_place().eqNullSafe(F.col("first"))).alias("later"),
     )
     numbers = F.array_sort(
         F.collect_set(F.when(F.col("later"), F.struct("number", "start", "end", "words")))
@@ -135,12 +369,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     text stays null and an empty one empty; both have no spans. An empty table gives no rows;
     other columns are not looked at. Starts jobs when called.
     """
-    spans = repeated_spans(docs).withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
+    spans = _keyed(repeated_spans(docs))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn(
         "mark", F.xxhash64("text")
     )
     # merged at any size, so that the plan does not turn when the list outgrows a broadcast
-    joined = rows.join(spans.hint("merge"), F.expr("mark = _mark AND doc_id <=> _id"), "left")
+    joined = rows.join(spans.hint("merge"), F.expr(SAME_TEXT), "left")
     removed = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>"))
     # what stands before the first span, between spans, and after the last one
     starts = F.concat(F.array(F.lit(0)), F.col("removed.end"))

@@ -66,3 +66,28 @@ def test_nothing_is_lost_from_the_corpus(spark, sf_dir):
                 if not any(a <= start and end <= b for a, b in spans):
                     kept_units.add(" ".join(words))
     assert kept_units == all_units
+
+
+def numbered(first, n):
+    return [f"w{i}" for i in range(first, first + n)]
+
+
+def test_passages_inside_sentences(spark):
+    passage = " ".join(numbered(0, 60))
+    texts = {
+        1: f"One begins so {passage} and one goes on.",
+        2: f"Two has other words, then {passage}, which differs at the last word",
+        3: " ".join(numbered(500, 30) + numbered(20, 24) + numbered(600, 30)),
+        4: " ".join(numbered(30, 30) + numbered(700, 30)),
+        5: " ".join(numbered(700, 30) + numbered(800, 30)),
+    }
+    found = {row["doc_id"]: row for row in run(spark, texts.items())}
+    assert found[1]["text"] == texts[1] and found[3]["text"] == texts[3]
+    assert found[2]["text"] == "Two has other words, then  w59, which differs at the last word"
+    assert found[4]["text"] == " " + " ".join(numbered(700, 30))
+    assert found[5]["text"] == " " + " ".join(numbered(800, 30))
+
+
+def test_uncovered():
+    assert repeated_text.uncovered([(0, 10), (5, 20), (30, 40)], [(8, 12), (30, 40)]) == [(0, 8), (12, 20)]
+    assert repeated_text.uncovered([], [(1, 2)]) == []
