@@ -34,7 +34,9 @@ MARK_WORDS = 10
 MARKS = LEAST_WORDS - MARK_WORDS + 1
 WORD_CACHE = 300_000
 
-WORD = re.compile(r"\S+")
+#: Scripts written without spaces between words: every character counts as a word.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(f"[{UNSPACED}]|[^\\s{UNSPACED}]+")
 
 UNITS = "doc_id long, mark long, number int, start int, end int, words int, high long, low long"
 MARK_ROWS = "doc_id long, mark long, start int, end int, value long"

@@ -88,6 +88,14 @@ def test_passages_inside_sentences(spark):
     assert found[5]["text"] == " " + " ".join(numbered(800, 30))
 
 
+def test_copies_of_short_sentences_and_unspaced_texts(spark):
+    short = " ".join(f"A{i}!! B{i} c.\nD{i} e{i} f g?" for i in range(12))
+    chinese = "".join(chr(0x4E00 + 7 * i) + ("。" if i % 9 == 8 else "") for i in range(80))
+    found = run(spark, [(1, short), (2, short), (3, chinese), (4, f"前言{chinese}后记")])
+    texts = {row["doc_id"]: row["text"] for row in found}
+    assert texts == {1: short, 2: "", 3: chinese, 4: "前言后记"}
+
+
 def test_uncovered():
     assert repeated_text.uncovered([(0, 10), (5, 20), (30, 40)], [(8, 12), (30, 40)]) == [(0, 8), (12, 20)]
     assert repeated_text.uncovered([], [(1, 2)]) == []
