@@ -4,8 +4,8 @@ A page is read into blocks of text, each with its path of block-level tags from
 markup declares as menu, header, footer, sidebar, notice, advert, form or comments is set aside.
 For every path the text length and the punctuation per block are taken, smoothed over
 neighbouring paths, multiplied, and compared with their standard deviation; paths above it
-hold content. The element with most of that content (and the article or main element around it)
-is the article, and all its blocks are kept.
+hold content. The article or main element around most of that content is the article, without one
+the smallest element around all of it; all its blocks are kept.
 """
 
 from __future__ import annotations
@@ -59,7 +59,9 @@ ATTRIBUTE = re.compile(
 )
 PUNCTUATION = re.compile(r"[.,;:!?…。，！？、]")
 SMOOTHING = (0.25, 0.5, 0.25)
-#: Share of the content that the article element must hold.
+#: Parts of an article that are never the whole of it.
+PART_TAGS = frozenset("p blockquote pre ul ol li dl dt dd figure figcaption h1 h2 h3 h4 h5 h6 hgroup table caption tbody thead tfoot tr th td".split())
+#: Share of the content that a declared article or main element must hold.
 CONTENT_SHARE = 0.66
 #: A block outside content paths is a menu if links hold more than this share of it.
 LINK_SHARE = 0.6
@@ -257,6 +259,15 @@ def content_paths(blocks: list[tuple[str, str]]) -> set[str]:
     return {path for path, value in zip(sums, fused, strict=True) if value >= least}
 
 
+def _deepest(page: Page, weight: np.ndarray, least: float) -> int:
+    """The innermost element that holds the least weight, on the way from the root."""
+    found = 0
+    for node in range(1, len(page.tags)):  # parents come first, so the last one found is deepest
+        if page.parents[node] == found and weight[node] >= least and page.tags[node] != "p":
+            found = node
+    return found
+
+
 def main_text(source: str | None) -> str:
     """The article of a page: its blocks with single spaces, joined by empty lines."""
     if not source:
@@ -269,14 +280,12 @@ def main_text(source: str | None) -> str:
     content = content_paths([(page.paths[node], text) for node, text, _ in blocks])
     chosen = [block for block in blocks if page.paths[block[0]] in content]
     weight = _lengths(page, chosen)
-    root = 0
-    for node in range(1, len(page.tags)):  # parents come first, so the last one found is deepest
-        if page.parents[node] == root and weight[node] >= CONTENT_SHARE * weight[0] and page.tags[node] != "p":
-            root = node
-    around = root
+    around = _deepest(page, weight, CONTENT_SHARE * weight[0])
     while around and page.tags[around] not in ("article", "main"):
         around = page.parents[around]
-    root = around or root
+    root = around or _deepest(page, weight, weight[0])
+    while page.tags[root] in PART_TAGS:
+        root = page.parents[root]
     inside = [False] * len(page.tags)
     for node in range(len(page.tags)):
         inside[node] = node == root or (node > 0 and inside[page.parents[node]])

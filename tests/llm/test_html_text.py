@@ -60,3 +60,21 @@ def test_long_punctuated_paths_are_content():
     blocks = [("/ul/li", "Home")] * 8 + [("/div/p", "A sentence, with commas. And more of it." * 3)] * 3
     assert html_text.content_paths(blocks) == {"/div/p"}
     assert html_text.content_paths([]) == set()
+
+
+SENTENCE = "A sentence of the article, with a comma. "
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div id=content><section><p>{short}</p></section><section><p>{long}</p></section></div>",
+        "<div><p>{short}</p></div><div><p>{long}</p></div>",
+        "<div id=content><p>{short}</p><blockquote>{long}</blockquote></div>",
+        "<div id=content><p>{short}</p><ul><li>{long}</li></ul></div>",
+        "<div id=content><p>{short}</p><table><tr><td>{long}</td></tr></table></div>",
+    ],
+)
+def test_parts_beside_the_longest_stay(page):
+    short, long = (SENTENCE * 3).strip(), (SENTENCE * 8).strip()
+    assert main_text(f"<body>{page.format(short=short, long=long)}</body>") == f"{short}\n\n{long}"
