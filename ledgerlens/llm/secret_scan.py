@@ -33,6 +33,8 @@ LEAST_SCORE = 0.5
 KINDS = ("key_block", "token_format", "assigned", "long_string")
 LEAST_RUN = 20
 LEAST_VALUE = 6
+#: What may join two secrets in one unbroken string.
+JOINTS = "/._-+~:|&#"
 REDACTED = "[secret]"
 CONTEXT = 48
 
@@ -71,7 +73,8 @@ class Candidate:
 def candidates(text: str | None) -> list[Candidate]:
     """Possible secrets of the whole text in order.
 
-    Of overlapping ones the more specific kind stays (KINDS), then the first.
+    Of overlapping ones the more specific kind stays (KINDS), then the first; what the other has
+    beside it stays a candidate of its own.
     """
     if not text:
         return []
@@ -86,22 +89,47 @@ def candidates(text: str | None) -> list[Candidate]:
                 found.append(Candidate(value.start(1), value.end(1), "assigned"))
     if any(len(piece) >= LEAST_RUN for piece in text.split()):
         for run in RUN.finditer(text):
-            known = KNOWN.search(run[0])
-            if known:
+            for known in KNOWN.finditer(run[0]):
                 found.append(Candidate(run.start() + known.start(), run.start() + known.end(), "token_format"))
-            elif any(c.isdigit() for c in run[0]) and any(c.isalpha() for c in run[0]):
+            if _mixed(run[0]):
                 found.append(Candidate(run.start(), run.end(), "long_string"))
     kept: list[Candidate] = []
     starts: list[int] = []
     for candidate in sorted(found, key=lambda c: (KINDS.index(c.kind), c.start, -c.end)):
-        at = bisect(starts, candidate.start)
-        before, after = kept[at - 1 : at], kept[at : at + 1]
-        if not (before and before[0].end > candidate.start or after and after[0].start < candidate.end):
-            kept.insert(at, candidate)
-            starts.insert(at, candidate.start)
+        for part in _beside(text, candidate, kept, starts):
+            at = bisect(starts, part.start)
+            kept.insert(at, part)
+            starts.insert(at, part.start)
     return kept
 
 
+def _mixed(value: str) -> bool:
+    return any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
+
+
+def _beside(text: str, candidate: Candidate, kept: list[Candidate], starts: list[int]) -> list[Candidate]:
+    """candidate, or its parts outside of kept (in order, not overlapping) that could be secrets."""
+    at = max(0, bisect(starts, candidate.start) - 1)
+    borders = [candidate.start]
+    while at < len(kept) and kept[at].start < candidate.end:
+        if kept[at].end > candidate.start:
+            borders += [kept[at].start, kept[at].end]
+        at += 1
+    if len(borders) == 1:
+        return [candidate]
+    borders.append(candidate.end)
+    least = LEAST_VALUE if candidate.kind == "assigned" else LEAST_RUN
+    parts = []
+    for start, end in zip(borders[::2], borders[1::2]):
+        while start < end and text[start] in JOINTS:
+            start += 1
+        while end > start and text[end - 1] in JOINTS:
+            end -= 1
+        if end - start >= least and _mixed(text[start:end]):
+            parts.append(Candidate(start, end, candidate.kind))
+    return parts
+
+
 def _kind(char: str) -> int:
     if char.isdigit():
         return 0
@@ -128,7 +156,7 @@ def _coverage(value: str, dictionary: frozenset[str]) -> float:
 
 
 def features(text: str, candidate: Candidate, dictionary: frozenset[str]) -> list[float]:
-    value = text[candidate.start : candidate.end][:4096]  # of a key block the head is enough
+    value = text[candidate.start : candidate.end]
     n = len(value)
     kinds = [_kind(c) for c in value]
     changes = sum(a != b for a, b in zip(kinds, kinds[1:]))
