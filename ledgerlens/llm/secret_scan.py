@@ -9,6 +9,7 @@ words of the corpus, real ones can be given instead.
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import string
@@ -23,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.forest import Tree, fit_forest, predict_forest
+from ledgerlens.sources.scratch import Scratch
 
-#: Documents whose words form the dictionary, those of lowest hash.
-DICTIONARY_DOCS = 400
-DICTIONARY_WORDS = 5000
+#: Bound of the dictionary that every task holds, some tens of MB.
+DICTIONARY_WORDS = 250_000
+#: Levels of document counts for each doubling.
+LEVELS = 8
 FINDINGS_PER_KIND = 250
 #: A candidate is a secret from this share of the forest's votes.
 LEAST_SCORE = 0.5
@@ -267,21 +270,40 @@ class SecretModel:
 
 
 def corpus_words(docs: DataFrame) -> list[str]:
-    """The DICTIONARY_WORDS most frequent words of 4 letters or more in DICTIONARY_DOCS texts."""
-    sample = (
-        docs.filter(F.col("text").isNotNull())
-        .select(F.xxhash64("doc_id", "text").alias("_hash"), F.col("text").alias("_text"))
-        .orderBy("_hash", F.length("_text"))
-        .limit(DICTIONARY_DOCS)
-    )
+    """Words of 4 to 14 letters that stand in least_documents texts or more, counted over all texts.
+
+    At most DICTIONARY_WORDS: if there are more, the least number of texts is raised until they fit.
+    """
+    texts = docs.filter(F.col("text").isNotNull()).select(F.col("text").alias("_text"))
     words = F.explode(
         F.array_distinct(F.regexp_extract_all(F.lower("_text"), F.lit(r"(\p{L}{4,14})"), 1))
     ).alias("word")
-    rows = (
-        sample.select(words).groupBy("word").count()
-        .orderBy(F.col("count").desc(), "word").limit(DICTIONARY_WORDS).collect()
-    )
-    return [row["word"] for row in rows]
+    scratch = Scratch(docs.sparkSession, "words")
+    counts = scratch.table(texts.select(words).groupBy("word").count(), "counts")
+    level = F.floor(F.log2("count") * LEVELS).cast("int").alias("level")
+    # one row per level, some hundreds at any size
+    levels = counts.groupBy(level).agg(F.count(F.lit(1)).alias("n"), F.min("count").alias("least")).collect()
+    least = least_documents(texts.count(), [(row["least"], row["n"]) for row in levels])
+    return [row["word"] for row in counts.filter(F.col("count") >= least).select("word").collect()]
+
+
+def least_documents(documents: int, levels: list[tuple[int, int]]) -> int:
+    """Texts that must hold a word, from (fewest texts, words) of each level of counts.
+
+    It grows with the square root of the corpus, so that pieces of secrets stay out, and further
+    if more than DICTIONARY_WORDS words would be left.
+    """
+    least = max(1, math.ceil(math.sqrt(documents) / 10))
+    words = 0
+    for fewest, n in sorted(levels, reverse=True):
+        words += n
+        if words > DICTIONARY_WORDS:
+            # this level does not fit: the words of the levels above it, and no other
+            above = [f for f, _ in levels if f > fewest]
+            return max(least, min(above) if above else fewest + 1)
+        if fewest <= least:
+            break
+    return least
 
 
 def train(words: list[str], findings: list[tuple[str, Candidate, bool]] | None = None) -> SecretModel:

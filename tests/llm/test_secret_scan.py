@@ -99,3 +99,19 @@ def test_two_secrets_in_one_run(text, secrets):
 def test_features_are_of_the_whole_value():
     value = "ab1" * 2000
     assert secret_scan.features(value, secret_scan.Candidate(0, 6000, "long_string"), frozenset())[0] == 6000
+
+
+def test_dictionary_counts_all_texts(spark):
+    rare = [f"rare{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(600)]
+    rows = [(i, f"common {rare[i % 600]}") for i in range(1800)] + [(5000, "single"), (5001, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # of 1,801 texts a word needs 5, of 1,600 it needs 4
+    assert secret_scan.corpus_words(docs) == ["common"]
+    small = spark.createDataFrame([(i, f"common {rare[i % 300]}") for i in range(1600)], "doc_id long, text string")
+    assert set(secret_scan.corpus_words(small)) == {"common", *rare[:300]}
+
+
+def test_least_documents_grows_and_is_bounded():
+    assert secret_scan.least_documents(4, [(1, 9)]) == 1
+    assert secret_scan.least_documents(10_000, [(1, 9), (20, 5)]) == 10
+    assert secret_scan.least_documents(10_000, [(12, 240_000), (50, 20_000)]) == 50
