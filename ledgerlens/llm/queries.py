@@ -16,6 +16,7 @@ from ledgerlens.llm import (
     piece_codec,
     repeated_text,
     secret_scan,
+    token_counts,
     toxicity,
     url_filter,
 )
@@ -77,6 +78,10 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_sentencepiece": op2_sentencepiece,
@@ -88,5 +93,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_embedding_join": op9_embedding_join,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_token_counts": op11_token_counts,
 }
 ORACLE: dict[str, str] = {}
