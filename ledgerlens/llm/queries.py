@@ -19,7 +19,9 @@ from ledgerlens.llm import (
     token_counts,
     toxicity,
     url_filter,
+    vector_codes,
 )
+from ledgerlens.llm.oracle import ORACLE  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +84,10 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_sentencepiece": op2_sentencepiece,
@@ -94,5 +100,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_join": op9_embedding_join,
     "op10_minhash_dedup": op10_minhash_dedup,
     "op11_token_counts": op11_token_counts,
+    "op13_vector_codes": op13_vector_codes,
 }
-ORACLE: dict[str, str] = {}
