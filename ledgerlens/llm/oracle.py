@@ -57,6 +57,58 @@ SELECT vec_id, code, error,
 FROM ints JOIN coded USING (rid)"""
 
 
+# The CRC of a text of ASCII characters, bit by bit from its reflected polynomial.
+_CRC = """xor(list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: ascii(ch)::BIGINT)),
+  lambda crc, code: list_reduce(
+    list_prepend(xor(crc, code), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda v, step: xor(v >> 1, (v & 1) * 3988292384::BIGINT))), 4294967295::BIGINT)"""
+
+CONVERSATION_TRIE = f"""
+WITH turns AS MATERIALIZED (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+plans AS MATERIALIZED (
+  SELECT conv_id, {_CRC} % 4 AS h, conv_id - conv_id % 20 AS family
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+heads AS (
+  SELECT plans.conv_id, place AS depth, role, text
+  FROM plans JOIN turns ON turns.conv_id = family AND place <= h),
+taken AS (SELECT conv_id, count(*) AS n FROM heads GROUP BY conv_id),
+rebuilt AS (
+  SELECT * FROM heads
+  UNION ALL
+  SELECT conv_id, place - h + coalesce(n, 0), role, text
+  FROM turns JOIN plans USING (conv_id) LEFT JOIN taken USING (conv_id) WHERE place > h),
+paths AS MATERIALIZED (
+  SELECT conv_id, coalesce(path, []) AS path FROM plans LEFT JOIN (
+    SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY depth) AS path
+    FROM rebuilt GROUP BY conv_id) USING (conv_id)),
+prefixes AS (
+  SELECT conv_id, depth, path[1:depth] AS node, depth = len(path) AS is_end
+  FROM (SELECT *, unnest(range(len(path) + 1)) AS depth FROM paths)),
+nodes AS MATERIALIZED (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CASE WHEN is_end THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), ''))
+      AS ends_sha256,
+    CASE WHEN depth = 0 THEN 0
+      ELSE (count(*) - 1) * len(regexp_extract_all(node[depth].text, '[^\\x20\\x09-\\x0D]+')) END AS saved
+  FROM prefixes GROUP BY node, depth),
+children AS (
+  SELECT node[1:depth - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS MATERIALIZED (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (node)),
+subtrees AS (
+  SELECT node[1:up] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS up FROM counted) GROUP BY ALL)
+SELECT counted.conv_id, counted.depth, parent.conv_id AS parent_conv_id, counted.n_convs,
+  counted.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, counted.ends_sha256
+FROM counted JOIN subtrees USING (node)
+  LEFT JOIN nodes AS parent ON counted.depth > 0 AND parent.node = counted.node[1:counted.depth - 1]"""
+
 ORACLE: dict[str, str] = {
+    "op12_conversation_trie": CONVERSATION_TRIE,
     "op13_vector_codes": vector_codes(),
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
     ann,
+    conversation_trie,
     embedding_join,
     html_text,
     mixing,
@@ -84,6 +85,10 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
 
@@ -100,5 +105,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_join": op9_embedding_join,
     "op10_minhash_dedup": op10_minhash_dedup,
     "op11_token_counts": op11_token_counts,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_vector_codes": op13_vector_codes,
 }
