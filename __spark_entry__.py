@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerlens.functions.measures import money_total  # noqa: E402
 from ledgerlens.operators import accounts, analytics, gold, quality, rules, silver  # noqa: E402
+from ledgerlens.operators.questions import Questions  # noqa: E402
 from ledgerlens.plans.history import History  # noqa: E402
 from ledgerlens.plans.pipeline import (  # noqa: E402
     run_pipeline,
@@ -152,7 +153,12 @@ _APPROXIMATE = ("approx_senders", "approx_receivers")
 
 def _approximate_counts_are_close(transactions: DataFrame) -> DataFrame:
     """Whether each approximate count is within a tenth of the exact one."""
-    found = analytics.overview_metrics(transactions).select(*_APPROXIMATE)
+    return _close_to_exact(
+        analytics.overview_metrics(transactions).select(*_APPROXIMATE), transactions
+    )
+
+
+def _close_to_exact(found: DataFrame, transactions: DataFrame) -> DataFrame:
     exact = transactions.agg(
         F.count_distinct("sender_account").alias("senders"),
         F.count_distinct("receiver_account").alias("receivers"),
@@ -166,6 +172,37 @@ def _approximate_counts_are_close(transactions: DataFrame) -> DataFrame:
     )
 
 
+def _questions(spark: SparkSession, sf_dir: str) -> Questions:
+    return Questions.on(_lake(spark, sf_dir), 5, 20, ("CASH_OUT", "TRANSFER"))
+
+
+def _reused_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four questions on one filter as rows of (question, item, value)."""
+    asked = _questions(spark, sf_dir)
+    overview = asked.overview_metrics().drop(*_APPROXIMATE)
+    rule = asked.rule_performance()
+    signals = asked.behavior_signals().select(
+        F.lit("signals").alias("question"),
+        F.col("signal").alias("item"),
+        F.col("signal_transactions").cast("double").alias("value"),
+    )
+    suspicious = asked.suspicious_transactions().agg(
+        F.count(F.lit(1)).alias("listed"), F.sum("alert_score").alias("score")
+    )
+    rows = signals
+    for name, row in (("overview", overview), ("rule", rule), ("suspicious", suspicious)):
+        numbers = row.select(*[F.col(column).cast("double").alias(column) for column in row.columns])
+        rows = rows.unionByName(
+            numbers.unpivot([], numbers.columns, "item", "value").withColumn("question", F.lit(name))
+        )
+    return rows
+
+
+def _filtered_distinct_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = _questions(spark, sf_dir)
+    return _close_to_exact(asked.approx_accounts(), asked.transactions)
+
+
 def _amount_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Money totals far above and far below everyday amounts."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -257,6 +294,10 @@ def _lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "filtered_amount_decile_risk": _on_part(analytics.amount_decile_risk),
         "filtered_account_risk": _on_part(analytics.account_risk),
         "filtered_rule_performance": _on_part(rules.rule_performance),
+        "reused_questions": _reused_questions,
+        "filtered_distinct_accounts": _filtered_distinct_accounts,
+        "filtered_rule_grid": lambda spark, sf_dir: _questions(spark, sf_dir).rule_grid(),
+        "rule_grid": _on_silver(rules.rule_grid),
         "amount_extremes": _amount_extremes,
         **{f"lake_{name}": _read_back(name) for name in TABLES if name != "bronze_transactions"},
         "table_counts": _table_counts,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ from ledgerlens.functions.predicates import (
     type_in,
 )
 from ledgerlens.operators.accounts import fraud_account_metrics
-from ledgerlens.operators.selection import exact_quantiles, tile_of
+from ledgerlens.operators.selection import Quantiles, exact_quantiles, tile_of
 from ledgerlens.schema import EXPECTED_TRANSACTION_TYPES
 from ledgerlens.sources.scratch import Scratch
 
@@ -60,23 +61,48 @@ def transaction_bounds(transactions: DataFrame) -> DataFrame:
     )
 
 
-def overview_metrics(transactions: DataFrame) -> DataFrame:
-    """One row of headline numbers; the two distinct counts are approximate."""
-    p99 = exact_quantiles(transactions, "amount", (0.99,))[0.99]
+def amount_quantile(
+    transactions: DataFrame, fraction: float, quantiles: Quantiles | None = None
+) -> float | None:
+    """Exact quantile of the amounts, from quantiles where they were searched before."""
+    if quantiles is None:
+        return exact_quantiles(transactions, "amount", (fraction,))[fraction]
+    return quantiles((fraction,))[fraction]
+
+
+def overview_metrics(
+    transactions: DataFrame,
+    quantiles: Quantiles | None = None,
+    accounts_seen: DataFrame | None = None,
+) -> DataFrame:
+    """One row of headline numbers; the two distinct counts are approximate.
+
+    accounts_seen is a row of them (approx_senders, approx_receivers) if they are known.
+    """
+    p99 = amount_quantile(transactions, 0.99, quantiles)
     is_fraud, amount = F.col("is_fraud"), F.col("amount")
     total, frauds = F.count(F.lit(1)), count_where(is_fraud)
     rate = ratio(F.lit(100.0) * frauds.cast("double"), total)
-    return transactions.agg(
-        total.alias("total_transactions"),
-        frauds.alias("fraud_transactions"),
-        F.coalesce(rate, F.lit(0.0)).alias("fraud_rate_pct"),
-        round_to(money_total_where(is_fraud, amount), 2).alias("fraud_amount"),
-        round_to(money_total(amount), 2).alias("total_amount"),
-        F.lit(p99).cast("double").alias("p99_amount"),
-        F.approx_count_distinct("sender_account").alias("approx_senders"),
-        F.approx_count_distinct("receiver_account").alias("approx_receivers"),
-        count_where(F.col("is_flagged_fraud")).alias("source_flagged_transactions"),
-    )
+    counts = {
+        "total_transactions": total,
+        "fraud_transactions": frauds,
+        "fraud_rate_pct": F.coalesce(rate, F.lit(0.0)),
+        "fraud_amount": round_to(money_total_where(is_fraud, amount), 2),
+        "total_amount": round_to(money_total(amount), 2),
+        "p99_amount": F.lit(p99).cast("double"),
+        "approx_senders": F.approx_count_distinct("sender_account"),
+        "approx_receivers": F.approx_count_distinct("receiver_account"),
+        "source_flagged_transactions": count_where(F.col("is_flagged_fraud")),
+    }
+    searched = [
+        number.alias(name)
+        for name, number in counts.items()
+        if accounts_seen is None or not name.startswith("approx_")
+    ]
+    row = transactions.agg(*searched)
+    if accounts_seen is not None:
+        row = row.join(accounts_seen, how="cross")  # one row each
+    return row.select(*counts)
 
 
 def _with_baseline(grouped: DataFrame) -> DataFrame:
@@ -161,12 +187,12 @@ def hourly_heatmap(transactions: DataFrame) -> DataFrame:
     return _fraud_by(transactions, "transaction_day", "transaction_hour")
 
 
-def behavior_signals(transactions: DataFrame) -> DataFrame:
+def behavior_signals(transactions: DataFrame, quantiles: Quantiles | None = None) -> DataFrame:
     """How well six signals point at fraud; a row may show several.
 
     One pass counts all signals side by side. Signals no row shows are left out.
     """
-    p99 = exact_quantiles(transactions, "amount", (0.99,))[0.99]
+    p99 = amount_quantile(transactions, 0.99, quantiles)
     # Names of the signals.
     signals = {
         "Sender drained to zero": sender_drained(),
@@ -209,12 +235,16 @@ def behavior_signals(transactions: DataFrame) -> DataFrame:
     )
 
 
-def amount_decile_risk(transactions: DataFrame) -> DataFrame:
+def amount_decile_risk(
+    transactions: DataFrame, first_counts: pd.DataFrame | None = None
+) -> DataFrame:
     """Fraud rate and lift per tenth of the transactions, by amount.
 
     Equal amounts at a border are told apart by source_row_number.
     """
-    decile = tile_of(transactions, "amount", "source_row_number", 10)
+    decile = tile_of(
+        transactions, "amount", "source_row_number", 10, first_counts=first_counts
+    )
     grouped = (
         transactions.groupBy(decile.cast("long").alias("amount_decile"))
         .agg(

@@ -4,18 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.measures import count_where, money_total_where, percent, ratio, round_to
+from ledgerlens.functions.measures import (
+    count_where,
+    money_parts,
+    money_total_where,
+    money_value,
+    percent,
+    ratio,
+    round_to,
+)
 from ledgerlens.functions.predicates import (
     amount_at_least,
     receiver_is_customer,
     sender_drained,
     type_in,
 )
-from ledgerlens.operators.selection import exact_quantiles
+from ledgerlens.operators.analytics import amount_quantile
+from ledgerlens.operators.selection import Quantiles, exact_quantiles
 
 # Choices and defaults of the rule, alerts listed, least score listed.
 PERCENTILES = (0.90, 0.95, 0.99, 0.995)
@@ -36,6 +46,17 @@ class AlertRule:
     require_sender_drained: bool = True
     require_customer_receiver: bool = False
 
+    def __post_init__(self) -> None:
+        if not 0.0 <= self.percentile <= 1.0:
+            raise ValueError(f"percentile must be between 0 and 1, not {self.percentile}")
+
+    @classmethod
+    def chosen(cls, percentile: float, **conditions: Any) -> AlertRule:
+        """A rule as the report offers it: its percentile must be one of PERCENTILES."""
+        if percentile not in PERCENTILES:
+            raise ValueError(f"percentile must be one of {PERCENTILES}, not {percentile}")
+        return cls(percentile=percentile, **conditions)
+
     def alert(self, amount_threshold: float | None) -> Column:
         condition = type_in(self.types) & amount_at_least(amount_threshold)
         if self.require_sender_drained:
@@ -57,6 +78,11 @@ def _performance(transactions: DataFrame, alert: Column, *extra: Column) -> Data
         round_to(money_total_where(alert & is_fraud, amount), 2).alias("fraud_amount_captured"),
         round_to(money_total_where(is_fraud, amount), 2).alias("total_fraud_amount"),
     )
+    return _with_rates(counts)
+
+
+def _with_rates(counts: DataFrame) -> DataFrame:
+    """Precision, recall and F1 beside the counts of alerts and the captured amounts."""
     hits = F.col("true_positives")
     precision, recall = ratio(hits, F.col("alerts")), ratio(hits, F.col("all_frauds"))
     f1 = ratio(F.lit(200.0) * precision * recall, precision + recall)
@@ -81,15 +107,106 @@ def source_flag_performance(transactions: DataFrame) -> DataFrame:
     return _performance(transactions, F.col("is_flagged_fraud"))
 
 
-def rule_performance(transactions: DataFrame, rule: AlertRule | None = None) -> DataFrame:
+def rule_performance(
+    transactions: DataFrame, rule: AlertRule | None = None, quantiles: Quantiles | None = None
+) -> DataFrame:
     """One row: threshold, counts, precision, recall, F1 and captured amount of a rule."""
     rule = rule or AlertRule()
-    threshold = exact_quantiles(transactions, "amount", (rule.percentile,))[rule.percentile]
+    threshold = amount_quantile(transactions, rule.percentile, quantiles)
     # NULL on empty input, like the counts
     shown = F.max(F.lit(threshold).cast("double")).alias("amount_threshold")
     return _performance(transactions, rule.alert(threshold), shown)
 
 
+def rule_cube(
+    transactions: DataFrame, quantiles: Quantiles | None = None
+) -> tuple[DataFrame, dict[float, float | None]]:
+    """Counts of all transactions by what any rule can ask of them, and the amount thresholds.
+
+    band is the number of PERCENTILES whose threshold the amount reaches. With type, drained
+    sender, customer receiver and fraud that makes 200 rows at most, from one scan; every
+    rule's performance is a sum over some of them.
+    """
+    if quantiles is None:
+        thresholds = exact_quantiles(transactions, "amount", PERCENTILES)
+    else:
+        found = quantiles(PERCENTILES)
+        thresholds = {fraction: found[fraction] for fraction in PERCENTILES}
+    band = sum(
+        (F.when(amount_at_least(limit), 1).otherwise(0) for limit in thresholds.values()), F.lit(0)
+    )
+
+    def known(condition: Column) -> Column:
+        return F.coalesce(condition, F.lit(False))
+
+    exact, rest = money_parts(F.col("amount"))
+    cube = transactions.groupBy(
+        band.alias("band"),
+        "transaction_type",
+        known(sender_drained()).alias("drained"),
+        known(receiver_is_customer()).alias("customer"),
+        known(F.col("is_fraud")).alias("fraud"),
+    ).agg(F.count(F.lit(1)).alias("n"), exact.alias("amount_exact"), rest.alias("amount_rest"))
+    return cube, thresholds
+
+
+def rule_grid(
+    transactions: DataFrame,
+    types: Iterable[str] = DEFAULT_RULE_TYPES,
+    quantiles: Quantiles | None = None,
+) -> DataFrame:
+    """rule_performance of every setting of the rule for some types, one row each.
+
+    All 16 settings are added up from one rule_cube. No transactions give no rows.
+    """
+    cube, thresholds = rule_cube(transactions, quantiles)
+    settings = [
+        F.struct(
+            F.lit(percentile).alias("percentile"),
+            F.lit(drained).alias("require_sender_drained"),
+            F.lit(customer).alias("require_customer_receiver"),
+            F.lit(thresholds[percentile]).cast("double").alias("amount_threshold"),
+            (
+                type_in(types)
+                & (F.col("band") > number)
+                & (F.col("drained") | F.lit(not drained))
+                & (F.col("customer") | F.lit(not customer))
+            ).alias("alert"),
+        )
+        for number, percentile in enumerate(PERCENTILES)
+        for drained in (True, False)
+        for customer in (True, False)
+    ]
+    alert, fraud = F.col("alert"), F.col("fraud")
+
+    def total(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("n")).otherwise(0))
+
+    def amount(condition: Column) -> Column:
+        exact = F.when(condition, F.col("amount_exact")).otherwise(0)
+        return round_to(
+            money_value(F.sum(exact), F.sum(F.when(condition, F.col("amount_rest")))), 2
+        )
+
+    setting = [
+        "percentile", "require_sender_drained", "require_customer_receiver", "amount_threshold"
+    ]
+    counts = (
+        cube.select("*", F.inline(F.array(*settings)))
+        .groupBy(*setting)
+        .agg(
+            total(alert).alias("alerts"),
+            total(alert & fraud).alias("true_positives"),
+            total(alert & ~fraud).alias("false_positives"),
+            total(~alert & fraud).alias("false_negatives"),
+            total(fraud).alias("all_frauds"),
+            amount(alert & fraud).alias("fraud_amount_captured"),
+            amount(fraud).alias("total_fraud_amount"),
+        )
+    )
+    return _with_rates(counts).orderBy(*setting)
+
+
 def confusion(performance: DataFrame) -> DataFrame:
     """Hits, false alarms and misses of a performance row as three rows."""
     # Names of the outcomes.
@@ -101,10 +218,12 @@ def confusion(performance: DataFrame) -> DataFrame:
 
 
 def suspicious_transactions(
-    transactions: DataFrame, limit: int = SUSPICIOUS_TRANSACTIONS
+    transactions: DataFrame,
+    limit: int = SUSPICIOUS_TRANSACTIONS,
+    quantiles: Quantiles | None = None,
 ) -> DataFrame:
     """Transactions with an additive score of at least 55, highest score first."""
-    p995 = exact_quantiles(transactions, "amount", (0.995,))[0.995]
+    p995 = amount_quantile(transactions, 0.995, quantiles)
     top_amount, drained, flagged = amount_at_least(p995), sender_drained(), F.col("is_flagged_fraud")
     # Weights of the score and names of the reasons.
     weights = (

@@ -25,6 +25,9 @@ SLICES = 4096
 FINAL_ROWS = 100_000
 
 
+Quantiles = Callable[[Iterable[float]], dict[float, float | None]]
+
+
 @dataclass(frozen=True)
 class Pick:
     """The value at a rank, with the number of rows before and at that value."""
@@ -82,19 +85,24 @@ def select_ranks(
     groups: dict[int, Column] | None = None,
     slices: int = SLICES,
     final_rows: int = FINAL_ROWS,
+    first_counts: pd.DataFrame | None = None,
 ) -> dict[int, tuple[int, dict[int, Pick]]]:
     """Find the values at zero-based ranks of a numeric column, per group.
 
     groups are a few conditions that exclude each other, without them all rows are group 0.
     ranks_for(group, rows) names the ranks wanted once the row count is known. NULL values
-    do not count, NaN sorts last. Returns {group: (rows, {rank: Pick})}; an absent group
-    has no rows.
+    do not count, NaN sorts last. first_counts are merged_slices of the same rows if known,
+    which saves the pass over all of them. Returns {group: (rows, {rank: Pick})}; an absent
+    group has no rows.
     """
     x = F.col(column)
     groups = groups or {0: F.lit(True)}
-    counts = _count_parts(
-        df, x, [(group, member & x.isNotNull(), _magnitude(x)) for group, member in groups.items()]
-    )
+    counts = first_counts
+    if counts is None:
+        counts = _count_parts(
+            df, x,
+            [(group, member & x.isNotNull(), _magnitude(x)) for group, member in groups.items()],
+        )
     found: dict[int, tuple[int, dict[int, Pick]]] = {}
     ranges: list[_Range] = []
     for group, parts in counts.groupby("slot"):
@@ -146,6 +154,31 @@ def _count_parts(
     )
 
 
+def value_slices(df: DataFrame, column: str, keys: Iterable[str]) -> DataFrame:
+    """Rows, least and greatest value per key and slice of the values.
+
+    These counts can be added up over any keys, so a table of them answers the first pass of a
+    search on every selection of keys. It has at most SLICES_PER_OCTAVE rows per key and
+    doubling of the values, however many rows are counted.
+    """
+    x = F.col(column)
+    return (
+        df.filter(x.isNotNull())
+        .groupBy(*keys, _magnitude(x).alias("slice"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.min(x).alias("low"), F.max(x).alias("high"))
+    )
+
+
+def merged_slices(slices: DataFrame) -> pd.DataFrame:
+    """value_slices added up over all their keys, as first_counts of a search."""
+    return (
+        slices.groupBy("slice")
+        .agg(F.sum("rows").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .select(F.lit(0).alias("slot"), "rows", "low", "high")
+        .toPandas()
+    )
+
+
 def _magnitude(x: Column) -> Column:
     """A number shared by values of one sign within 1/SLICES_PER_OCTAVE of a doubling.
 
@@ -170,6 +203,7 @@ def exact_quantiles(
     fractions: Iterable[float],
     slices: int = SLICES,
     final_rows: int = FINAL_ROWS,
+    first_counts: pd.DataFrame | None = None,
 ) -> dict[float, float | None]:
     """Continuous quantiles: linear between the two rows around rank (n - 1) * fraction.
 
@@ -187,7 +221,9 @@ def exact_quantiles(
             )
         ]
 
-    result = select_ranks(df, column, neighbours, slices=slices, final_rows=final_rows)
+    result = select_ranks(
+        df, column, neighbours, slices=slices, final_rows=final_rows, first_counts=first_counts
+    )
     if not result:
         return dict.fromkeys(fractions)
     rows, picks = result[0]
@@ -212,6 +248,7 @@ def tile_of(
     tiles: int,
     slices: int = SLICES,
     final_rows: int = FINAL_ROWS,
+    first_counts: pd.DataFrame | None = None,
 ) -> Column:
     """NTILE(tiles) ordered by (column, tie_breaker), as an expression on each row.
 
@@ -227,7 +264,7 @@ def tile_of(
 
     selected = select_ranks(
         df, column, lambda _, rows: [end - 1 for end in tile_ends(rows)],
-        slices=slices, final_rows=final_rows,
+        slices=slices, final_rows=final_rows, first_counts=first_counts,
     )
     if not selected:
         return F.lit(1)

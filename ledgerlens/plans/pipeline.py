@@ -14,6 +14,7 @@ from ledgerlens.operators.gold import (
     hourly_fraud_trend,
     large_transaction_alerts,
 )
+from ledgerlens.operators.questions import account_sketches, amount_slices
 from ledgerlens.operators.quality import check_results, quarantine, score_quality
 from ledgerlens.operators.silver import (
     silver_accounts,
@@ -86,6 +87,8 @@ def run_transform(
     lake.write(high_risk_accounts(metrics), "gold_high_risk_accounts")
     lake.write(hourly_fraud_trend(totals), "gold_hourly_fraud_trend")
     lake.write(large_transaction_alerts(silver), "gold_large_transaction_alerts")
+    lake.write(amount_slices(silver), "amount_slices")
+    lake.write(account_sketches(silver), "account_sketches")
     lake.register_views()
     return {
         "silver_rows": lake.count("silver_transactions"),

@@ -74,6 +74,12 @@ TABLES = {
     "gold_large_transaction_alerts": TableSpec("gold/gold_large_transaction_alerts"),
 }
 
+# Small tables kept beside silver, that answer parts of a question without reading transactions.
+STATISTICS = {
+    "amount_slices": TableSpec("statistics/amount_slices"),
+    "account_sketches": TableSpec("statistics/account_sketches"),
+}
+
 # The tables the analytics functions and reports need.
 REPORT_TABLES = (
     "silver_transactions",

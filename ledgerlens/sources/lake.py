@@ -6,7 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.schema import REPORT_TABLES, TABLES
+from ledgerlens.schema import REPORT_TABLES, STATISTICS, TABLES
+
+SPECS = TABLES | STATISTICS
 
 
 def is_absent(error: AnalysisException) -> bool:
@@ -20,7 +22,7 @@ class Lake:
         self.root = str(root).rstrip("/")
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{TABLES[name].path}"
+        return f"{self.root}/{SPECS[name].path}"
 
     def table(self, name: str) -> DataFrame:
         """Read a table; its partition column is always an int, also where Spark infers less."""
@@ -31,7 +33,7 @@ class Lake:
             if is_absent(error):
                 raise FileNotFoundError(f"no table {name} in {path}") from error
             raise
-        key = TABLES[name].partition_by
+        key = SPECS[name].partition_by
         return df.withColumn(key, F.col(key).cast("int")) if key else df
 
     def has(self, name: str) -> bool:
@@ -66,7 +68,7 @@ class Lake:
         partitions and cuts large ones, so a day with a third of all rows still becomes
         many files of normal size. Leave it off where the rows already come day by day.
         """
-        key = TABLES[name].partition_by
+        key = SPECS[name].partition_by
         if rebalance:
             df = df.hint("rebalance", F.col(key)) if key else df.hint("rebalance")
         writer = df.write.mode("overwrite")
