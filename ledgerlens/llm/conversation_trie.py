@@ -281,27 +281,30 @@ def _end_digests(prefixes: DataFrame) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, state = None, hashlib.sha256()
+        done: list[tuple[int, int, str]] = []
 
-        def row() -> pa.RecordBatch:
+        def rows() -> pa.RecordBatch:
+            a, b, digests = zip(*done, strict=True)
+            done.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array([node[0]], pa.int64()), pa.array([node[1]], pa.int64()), pa.array([state.hexdigest()])],
+                [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(digests, pa.string())],
                 names=["a", "b", "ends_sha256"],
             )
 
         for batch in batches:
-            done: list[pa.RecordBatch] = []
             for a, b, ids in zip(*[batch[name].to_pylist() for name in ("a", "b", "ids")], strict=True):
                 if node == (a, b):
                     state.update(b",")
                 else:
                     if node is not None:
-                        done.append(row())
+                        done.append((*node, state.hexdigest()))
                     node, state = (a, b), hashlib.sha256()
                 state.update(ids.encode())
             if done:
-                yield pa.Table.from_batches(done).combine_chunks().to_batches()[0]
+                yield rows()
         if node is not None:
-            yield row()
+            done.append((*node, state.hexdigest()))
+            yield rows()
 
     return (
         texts.repartition("a", "b")
