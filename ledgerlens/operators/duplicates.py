@@ -10,6 +10,9 @@ from ledgerlens.sources.scratch import Scratch
 
 # A group of copies is ranked in blocks of this many consecutive row numbers.
 ROWS_PER_BLOCK = 1_000_000
+# Words of 64 bits in the filter of repeated hashes; only words with a bit set are rows, so the
+# broadcast filter never has more rows than this.
+FILTER_WORDS = 1 << 20
 
 
 def rank_copies(
@@ -18,41 +21,51 @@ def rank_copies(
     order_column: str,
     scratch: Scratch,
     rows_per_block: int = ROWS_PER_BLOCK,
+    layout: str | None = None,
 ) -> DataFrame:
     """Add duplicate_count and duplicate_rank (bigint) over rows whose key columns agree.
 
     Columns agree when their text does and NULL is the same as empty text.
 
-    1. Hashes that occur more than once are found from 8-byte hashes alone; equal ones
-       combine before the shuffle.
-    2. Rows with any other hash are unique and are not shuffled.
-    3. The rest, normally few, is grouped by its exact key, so a hash collision does no
-       harm. A group is cut into blocks of row numbers: ranks are taken within a block and
-       shifted by the size of the blocks before it. A block holds at most rows_per_block
-       rows as long as order_column is unique, however large the group is. Rows without a
-       row number come last, in the order they are written down in.
+    1. Hashes that occur more than once are found from 8-byte hashes alone; equal ones combine
+       before the shuffle. They set bits in a Bloom filter of bounded size, which is broadcast.
+    2. Rows the filter does not know are unique and are never shuffled.
+    3. The rest, normally few, is shuffled once, by hash and block of row numbers: ranks are
+       taken within a block, over the exact key, and shifted by the rows of the same two hashes
+       (128 bits) in the blocks before it. A block holds at most rows_per_block rows as long as
+       order_column is unique, however large the group is. Rows without a row number come
+       last, in the order they are written down in.
+
+    When so many rows repeat that the filter fills up, more unique rows take part in the one
+    shuffle; results do not change. With layout, ranked rows are brought together by that
+    column again, for a writer that partitions by it.
     """
     key = [part for name in key_columns for part in _key_parts(df, name)]
     hashed = df.withColumn("key_hash", F.xxhash64(*key))
-    repeated = scratch.table(
-        hashed.groupBy("key_hash")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .select("key_hash"),
+    repeated = (
+        hashed.groupBy("key_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    )
+    words = scratch.table(
+        repeated.groupBy(_filter_word().alias("word")).agg(F.bit_or(_filter_bits()).alias("bits")),
         "repeated-hashes",
     )
     one = F.lit(1).cast("long")
-    if repeated.isEmpty():
+    if words.isEmpty():
         return df.withColumns({"duplicate_count": one, "duplicate_rank": one})
 
-    unique = hashed.join(repeated, "key_hash", "left_anti").withColumns(
-        {"duplicate_count": one, "duplicate_rank": one}
-    )
+    known = F.coalesce(F.col("bits").bitwiseAND(_filter_bits()) == _filter_bits(), F.lit(False))
+    sifted = hashed.withColumn("word", _filter_word()).join(F.broadcast(words), "word", "left")
+    unique = sifted.filter(~known).withColumns({"duplicate_count": one, "duplicate_rank": one})
     number = F.col(order_column).try_cast("long")
     position = F.coalesce(number, F.monotonically_increasing_id())
+    group = ["key_hash", "second_hash"]
+    # written, so that rows without a number keep their place
     copies = scratch.table(
-        hashed.join(repeated, "key_hash", "left_semi").withColumns(
+        sifted.filter(known)
+        .drop("word", "bits")
+        .withColumns(
             {
+                "second_hash": F.xxhash64(F.lit("second"), *key),
                 "position": position,
                 "block": F.struct(
                     number.isNull().alias("unnumbered"),
@@ -61,19 +74,12 @@ def rank_copies(
             }
         ),
         "copies",
-    ).withColumn("copy_key", F.struct(*key))
-
-    in_block = Window.partitionBy("copy_key", "block")
-    local = copies.withColumns(
-        {
-            "local_rank": F.row_number().over(in_block.orderBy("position")),
-            "local_count": F.count(F.lit(1)).over(in_block),
-        }
     )
-    in_group = Window.partitionBy("copy_key")
+    in_group = Window.partitionBy(*group)
     earlier = in_group.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # hashes and counts only
     blocks = (
-        copies.groupBy("copy_key", "block")
+        copies.groupBy(*group, "block")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumns(
             {
@@ -84,14 +90,42 @@ def rank_copies(
         .filter("rows_in_group > n")
         .drop("n")
     )
-    ranked = local.join(blocks, ["copy_key", "block"], "left").withColumns(
-        {
-            "duplicate_count": F.coalesce("rows_in_group", "local_count"),
-            "duplicate_rank": F.col("local_rank") + F.coalesce("rows_before", F.lit(0)),
-        }
+    # the join's shuffle by group and block also serves the windows
+    in_block = Window.partitionBy(*group, "block", *key)
+    ranked = (
+        copies.join(blocks, [*group, "block"], "left")
+        .withColumns(
+            {
+                "local_rank": F.row_number().over(in_block.orderBy("position")),
+                "local_count": F.count(F.lit(1)).over(in_block),
+            }
+        )
+        .withColumns(
+            {
+                "duplicate_count": F.coalesce("rows_in_group", "local_count"),
+                "duplicate_rank": F.col("local_rank") + F.coalesce("rows_before", F.lit(0)),
+            }
+        )
     )
     result = [*df.columns, "duplicate_count", "duplicate_rank"]
-    return unique.select(*result).unionByName(ranked.select(*result))
+    ranked = ranked.select(*result)
+    if layout:
+        ranked = ranked.hint("rebalance", F.col(layout))
+    return unique.select(*result).unionByName(ranked)
+
+
+def _filter_word() -> Column:
+    """Which word of the filter a hash belongs to."""
+    return F.col("key_hash").bitwiseAND(F.lit(FILTER_WORDS - 1).cast("long"))
+
+
+def _filter_bits() -> Column:
+    """The three bits of its word that a hash sets, taken from its upper half."""
+    bits = F.lit(0).cast("long")
+    for shift in (32, 38, 44):
+        at = F.shiftrightunsigned("key_hash", shift).bitwiseAND(F.lit(63).cast("long"))
+        bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), at.cast("int")))
+    return bits
 
 
 def _key_parts(df: DataFrame, name: str) -> list[Column]:

@@ -13,7 +13,9 @@ from ledgerlens.sources.scratch import Scratch
 _BALANCES = ("oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest")
 
 
-def score_quality(bronze: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+def score_quality(
+    bronze: DataFrame, scratch: Scratch | None = None, layout: str | None = None
+) -> DataFrame:
     """Add parsed columns, duplicate rank and count, and quality_issues ('' for a clean row).
 
     Of rows that agree in all raw columns (as text, NULL the same as empty) the one with
@@ -21,7 +23,8 @@ def score_quality(bronze: DataFrame, scratch: Scratch | None = None) -> DataFram
     amount check, since it is greater than zero. source_row_number should be unique: rows
     that share one get an arbitrary order among them.
 
-    Finding repeated rows runs a job when this is called, see rank_copies.
+    Finding repeated rows runs a job when this is called, see rank_copies, which also says
+    what layout is for.
     """
     scratch = scratch or Scratch(bronze.sparkSession, "quality")
     parsed = {
@@ -34,7 +37,7 @@ def score_quality(bronze: DataFrame, scratch: Scratch | None = None) -> DataFram
         "parsed_isFraud": tolerant_int(bronze, "isFraud"),
         "parsed_isFlaggedFraud": tolerant_int(bronze, "isFlaggedFraud"),
     }
-    ranked = rank_copies(bronze, RAW_COLUMNS, "source_row_number", scratch)
+    ranked = rank_copies(bronze, RAW_COLUMNS, "source_row_number", scratch, layout=layout)
     scored = ranked.select(
         *bronze.columns,
         *[column.alias(name) for name, column in parsed.items()],

@@ -46,7 +46,9 @@ def run_ingest(
 
 
 def scored_bronze(spark: SparkSession, root: str) -> DataFrame:
-    return score_quality(Lake(spark, root).table("bronze_transactions"), Scratch(spark, "quality"))
+    """Scored rows of bronze; all but repeated rows keep bronze's day-by-day layout."""
+    bronze = Lake(spark, root).table("bronze_transactions")
+    return score_quality(bronze, Scratch(spark, "quality"), layout="step_day")
 
 
 def run_quality(

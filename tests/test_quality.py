@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,6 +187,50 @@ def test_large_repeated_list_is_joined_without_broadcast(spark, sf_dir):
     assert with_broadcast == without and len(without) == 10044
 
 
+def test_one_wide_shuffle_without_broadcasts(spark, tmp_path):
+    """Only the rows the filter knows are shuffled, once; all others stay where they are."""
+    rows = [(n, f"k{n % 700}" if n < 1400 else f"u{n}", f"wide{n}") for n in range(3000)]
+    spark.createDataFrame(rows, "n long, k string, payload string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        ranked = rank_copies(df, ("k",), "n", Scratch(spark, "t"), rows_per_block=100)
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        formatted = ranked._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        found = sorted(ranked.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan  # with the filter, whose size is bounded
+    exchanges = [
+        part for part in formatted.split("\n\n") if re.match(r"\s*\(\d+\) Exchange", part)
+    ]
+    wide = [part for part in exchanges if "payload" in part]
+    assert len(wide) == 1 and "hashpartitioning(key_hash" in wide[0] and "block" in wide[0]
+    groups = {}
+    for n, k, _ in rows:
+        groups.setdefault(k, []).append(n)
+    assert [(r["n"], r["duplicate_count"], r["duplicate_rank"]) for r in found] == [
+        (n, len(groups[k]), groups[k].index(n) + 1) for n, k, _ in rows
+    ]
+
+
+@pytest.mark.parametrize("words", [1, 2, 64])
+def test_a_full_filter_changes_nothing(spark, monkeypatch, words):
+    monkeypatch.setattr(duplicates, "FILTER_WORDS", words)
+    rows = [(n, f"k{n % 90}" if n % 2 else f"u{n}") for n in range(400)]
+    df = spark.createDataFrame(rows, "n long, k string")
+    ranked = rank_copies(df, ("k",), "n", Scratch(spark, "t"), 50).collect()
+    groups = {}
+    for n, k in rows:
+        groups.setdefault(k, []).append(n)
+    assert sorted((r["n"], r["duplicate_count"], r["duplicate_rank"]) for r in ranked) == [
+        (n, len(groups[k]), groups[k].index(n) + 1) for n, k in rows
+    ]
+
+
 def test_clean_and_bad_rows_are_everything(spark, sf_dir):
     from ledgerlens.sources.events import transactions_from_events
 
