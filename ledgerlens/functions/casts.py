@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 _NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|nan|inf|infinity)\s*$"
 
 
-def _number_text(column: Column) -> Column:
+def number_text(column: Column) -> Column:
+    """Text that is a number, else NULL."""
     return F.when(column.rlike(_NUMBER), column)
 
 
@@ -23,7 +24,7 @@ def tolerant_int(df: DataFrame, name: str) -> Column:
     column = F.col(name)
     kind = df.schema[name].dataType
     if isinstance(kind, T.StringType):
-        rounded = F.round(_number_text(column).try_cast("double"))
+        rounded = F.round(number_text(column).try_cast("double"))
         return F.coalesce(column.try_cast("int"), rounded.try_cast("int"))
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         return F.bround(column.cast("double")).try_cast("int")
@@ -33,7 +34,7 @@ def tolerant_int(df: DataFrame, name: str) -> Column:
 def tolerant_double(df: DataFrame, name: str) -> Column:
     column = F.col(name)
     if isinstance(df.schema[name].dataType, T.StringType):
-        column = _number_text(column)
+        column = number_text(column)
     return column.try_cast("double")
 
 

@@ -23,7 +23,14 @@ from ledgerlens.operators.silver import (
 )
 from ledgerlens.plans.history import History
 from ledgerlens.sources.lake import Lake
-from ledgerlens.sources.raw_csv import find_raw_file, fixed_splits, read_raw, to_bronze
+from ledgerlens.sources.raw_csv import (
+    bronze_records,
+    find_raw_file,
+    fixed_splits,
+    read_raw,
+    sample_files,
+    to_bronze,
+)
 from ledgerlens.sources.scratch import Scratch
 
 
@@ -35,12 +42,25 @@ def run_ingest(
     schema: StructType | None = None,
     mode: str = "FAILFAST",
 ) -> dict[str, int | str]:
-    """CSV to bronze, partitioned by day."""
+    """CSV to bronze, partitioned by day.
+
+    FAILFAST and PERMISSIVE are modes of read_raw. KEEP reads quoted line breaks and keeps cells
+    that do not fit as text, for the quality checks to find.
+    """
     lake = Lake(spark, root)
     source = find_raw_file(spark, lake.root, raw_file)
+    scratch = Scratch(spark, "ingest")
     with fixed_splits(spark):
-        raw = read_raw(spark, source, schema, mode)
-        bronze = to_bronze(raw, Scratch(spark, "ingest"), sample_rows)
+        if mode == "KEEP":
+            bronze = bronze_records(spark, source, scratch, schema, sample_rows)
+        else:
+            files: str | list[str] = source
+            if sample_rows:
+                files = sample_files(
+                    spark, source, sample_rows,
+                    lambda some: read_raw(spark, some, schema, mode).count(),
+                )
+            bronze = to_bronze(read_raw(spark, files, schema, mode), scratch, sample_rows)
         lake.write(bronze, "bronze_transactions", rebalance=True)
     return {"raw_file": source, "bronze_rows": lake.count("bronze_transactions")}
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlens.sources.csv_records import read_numbered
 from ledgerlens.sources.lake import is_absent
 from ledgerlens.sources.scratch import Scratch
 
@@ -44,9 +45,58 @@ def _files(spark: SparkSession, path: str) -> list[str]:
         return []
 
 
-def read_raw(
+def sample_files(
+    spark: SparkSession, path: str, sample_rows: int, count: Callable[[list[str]], int]
+) -> list[str]:
+    """The first files below path, in order, that hold sample_rows rows together.
+
+    Files are counted by twice as many each time until there are enough, so no more than twice
+    the files needed are read and later ones are not opened.
+    """
+    files = _files(spark, path)
+    taken = 1
+    while taken < len(files) and count(files[:taken]) < sample_rows:
+        taken *= 2
+    return files[:taken]
+
+
+def bronze_records(
     spark: SparkSession,
     path: str,
+    scratch: Scratch,
+    schema: StructType | None = None,
+    sample_rows: int | None = None,
+) -> DataFrame:
+    """Bronze rows of CSV with quoted line breaks, bad cells kept as text; see csv_records.
+
+    Without a schema the columns' types are those that hold all cells, found in the first pass.
+    With sample_rows only the first files that hold so many are read.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    if schema is not None:
+        _check_header(path, header, schema)
+
+    def read(files: list[str]) -> tuple[DataFrame, int]:
+        return read_numbered(spark, files, header, scratch, schema)
+
+    files = _files(spark, path)
+    if sample_rows:
+        files = sample_files(spark, path, sample_rows, lambda some: read(some)[1])
+    rows, _ = read(files)
+    bronze = rows.select(
+        *[name for name in rows.columns if name != "source_file"],
+        F.ceil(F.col("step").try_cast("double") / F.lit(24.0)).cast("int").alias("step_day"),
+        F.current_timestamp().alias("ingested_at"),
+        "source_file",
+    )
+    if sample_rows:
+        bronze = bronze.filter(F.col("source_row_number") <= sample_rows)
+    return bronze
+
+
+def read_raw(
+    spark: SparkSession,
+    path: str | list[str],
     schema: StructType | None = None,
     mode: str = "FAILFAST",
 ) -> DataFrame:
@@ -65,15 +115,19 @@ def read_raw(
     return reader.option("enforceSchema", False).schema(_by_header(spark, path, schema)).csv(path)
 
 
-def _by_header(spark: SparkSession, path: str, schema: StructType) -> StructType:
+def _by_header(spark: SparkSession, path: str | list[str], schema: StructType) -> StructType:
     """The schema's fields in the order of the file's header, which must name just these."""
     header = spark.read.option("header", True).csv(path).columns
+    _check_header(path, header, schema)
+    return StructType([schema[name] for name in header])
+
+
+def _check_header(path: str | list[str], header: list[str], schema: StructType) -> None:
     unknown, missing = set(header) - set(schema.names), set(schema.names) - set(header)
     if unknown or missing:
         raise ValueError(
             f"header of {path}: unknown columns {sorted(unknown)}, missing {sorted(missing)}"
         )
-    return StructType([schema[name] for name in header])
 
 
 @contextmanager
