@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ledgerlens.functions.measures import money_total  # noqa: E402
+from ledgerlens.functions.measures import Money  # noqa: E402
 from ledgerlens.operators import accounts, analytics, gold, quality, rules, silver  # noqa: E402
 from ledgerlens.operators.questions import Questions  # noqa: E402
 from ledgerlens.plans.history import History  # noqa: E402
@@ -205,10 +205,14 @@ def _filtered_distinct_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _amount_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Money totals far above and far below everyday amounts."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events.groupBy("event_type").agg(
-        money_total(F.col("value") * F.lit(1e13)).alias("huge_total"),
-        money_total(F.col("value") * F.lit(1e-8)).alias("tiny_total"),
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_type",
+        (F.col("value") * F.lit(1e13)).alias("huge"),
+        (F.col("value") * F.lit(1e-8)).alias("tiny"),
+    )
+    huge, tiny = Money.measured(events, "huge"), Money.measured(events, "tiny")
+    return tiny.on(huge.on(events)).groupBy("event_type").agg(
+        huge.total().alias("huge_total"), tiny.total().alias("tiny_total")
     )
 
 

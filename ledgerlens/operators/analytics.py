@@ -5,15 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.measures import (
+    Money,
     count_where,
-    money_mean,
-    money_parts,
-    money_total,
-    money_total_where,
     percent,
     ratio,
     round_to,
@@ -74,21 +71,24 @@ def overview_metrics(
     transactions: DataFrame,
     quantiles: Quantiles | None = None,
     accounts_seen: DataFrame | None = None,
+    money: Money | None = None,
 ) -> DataFrame:
     """One row of headline numbers; the two distinct counts are approximate.
 
-    accounts_seen is a row of them (approx_senders, approx_receivers) if they are known.
+    accounts_seen is a row of them (approx_senders, approx_receivers) if they are known, money
+    is Money.measured of the amounts if known, here and below.
     """
+    money = money or Money.measured(transactions, "amount")
     p99 = amount_quantile(transactions, 0.99, quantiles)
-    is_fraud, amount = F.col("is_fraud"), F.col("amount")
+    is_fraud = F.col("is_fraud")
     total, frauds = F.count(F.lit(1)), count_where(is_fraud)
     rate = ratio(F.lit(100.0) * frauds.cast("double"), total)
     counts = {
         "total_transactions": total,
         "fraud_transactions": frauds,
         "fraud_rate_pct": F.coalesce(rate, F.lit(0.0)),
-        "fraud_amount": round_to(money_total_where(is_fraud, amount), 2),
-        "total_amount": round_to(money_total(amount), 2),
+        "fraud_amount": round_to(money.total(is_fraud), 2),
+        "total_amount": round_to(money.total(), 2),
         "p99_amount": F.lit(p99).cast("double"),
         "approx_senders": F.approx_count_distinct("sender_account"),
         "approx_receivers": F.approx_count_distinct("receiver_account"),
@@ -99,7 +99,7 @@ def overview_metrics(
         for name, number in counts.items()
         if accounts_seen is None or not name.startswith("approx_")
     ]
-    row = transactions.agg(*searched)
+    row = money.on(transactions).agg(*searched)
     if accounts_seen is not None:
         row = row.join(accounts_seen, how="cross")  # one row each
     return row.select(*counts)
@@ -132,16 +132,17 @@ def _lift() -> Column:
     return round_to(ratio(_rate(), F.col("baseline_rate")), 2)
 
 
-def type_risk(transactions: DataFrame) -> DataFrame:
+def type_risk(transactions: DataFrame, money: Money | None = None) -> DataFrame:
     """Fraud rate, lift and excess fraud per transaction type, highest lift first."""
-    is_fraud, amount = F.col("is_fraud"), F.col("amount")
-    grouped = transactions.groupBy("transaction_type").agg(
+    is_fraud = F.col("is_fraud")
+    money = money or Money.measured(transactions, "amount")
+    grouped = money.on(transactions).groupBy("transaction_type").agg(
         F.count(F.lit(1)).alias("total_transactions"),
         count_where(is_fraud).alias("fraud_transactions"),
-        money_total(amount).alias("amount_sum"),
-        money_total_where(is_fraud, amount).alias("fraud_amount_sum"),
-        money_mean(amount).alias("amount_mean"),
-        money_mean(F.when(is_fraud, amount)).alias("fraud_amount_mean"),
+        money.total().alias("amount_sum"),
+        money.total(is_fraud).alias("fraud_amount_sum"),
+        money.mean().alias("amount_mean"),
+        money.mean(is_fraud).alias("fraud_amount_mean"),
     )
     excess = F.col("fraud_transactions").cast("double") - F.col("baseline_rate") * F.col(
         "total_transactions"
@@ -167,13 +168,15 @@ def type_risk(transactions: DataFrame) -> DataFrame:
 def _fraud_by(transactions: DataFrame, *keys: str) -> DataFrame:
     is_fraud = F.col("is_fraud")
     total, frauds = F.count(F.lit(1)), count_where(is_fraud)
+    money = Money.measured(transactions, "amount")
     return (
-        transactions.groupBy(*keys)
+        money.on(transactions)
+        .groupBy(*keys)
         .agg(
             total.alias("total_transactions"),
             frauds.alias("fraud_transactions"),
             round_to(F.lit(100.0) * ratio(frauds, total), 4).alias("fraud_rate_pct"),
-            round_to(money_total_where(is_fraud, F.col("amount")), 2).alias("fraud_amount"),
+            round_to(money.total(is_fraud), 2).alias("fraud_amount"),
         )
         .orderBy(*[F.asc_nulls_last(key) for key in keys])
     )
@@ -187,7 +190,9 @@ def hourly_heatmap(transactions: DataFrame) -> DataFrame:
     return _fraud_by(transactions, "transaction_day", "transaction_hour")
 
 
-def behavior_signals(transactions: DataFrame, quantiles: Quantiles | None = None) -> DataFrame:
+def behavior_signals(
+    transactions: DataFrame, quantiles: Quantiles | None = None, money: Money | None = None
+) -> DataFrame:
     """How well six signals point at fraud; a row may show several.
 
     One pass counts all signals side by side. Signals no row shows are left out.
@@ -202,17 +207,18 @@ def behavior_signals(transactions: DataFrame, quantiles: Quantiles | None = None
         "Receiver starts with zero balance": receiver_starts_empty(),
         "Source isFlaggedFraud rule": F.col("is_flagged_fraud"),
     }
-    is_fraud, amount = F.col("is_fraud"), F.col("amount")
+    is_fraud = F.col("is_fraud")
+    money = money or Money.measured(transactions, "amount")
     counts = [
         F.struct(
             F.lit(name).alias("signal"),
             count_where(shows).alias("signal_transactions"),
             count_where(shows & is_fraud).alias("signal_frauds"),
-            money_total_where(shows & is_fraud, amount).alias("fraud_amount_sum"),
+            money.total(shows & is_fraud).alias("fraud_amount_sum"),
         )
         for name, shows in signals.items()
     ]
-    one_row = transactions.agg(
+    one_row = money.on(transactions).agg(
         F.count(F.lit(1)).alias("all_transactions"),
         count_where(is_fraud).alias("all_frauds"),
         F.array(*counts).alias("signals"),
@@ -288,7 +294,10 @@ def _borders_before(borders: list[tuple[float, str]], amount: Column, account: C
 
 
 def account_risk(
-    transactions: DataFrame, limit: int = RANKED_ACCOUNTS, scratch: Scratch | None = None
+    transactions: DataFrame,
+    limit: int = RANKED_ACCOUNTS,
+    scratch: Scratch | None = None,
+    money: Money | None = None,
 ) -> DataFrame:
     """The riskiest accounts with rank, band and their place in the loss concentration.
 
@@ -312,7 +321,7 @@ def account_risk(
     )
     touch_rate = ratio(F.col("fraud_transactions_touched"), F.col("total_transactions_touched"))
     scored = scratch.table(
-        fraud_account_metrics(transactions)
+        fraud_account_metrics(transactions, money)
         .select(
             "account_id",
             "total_transactions_touched",
@@ -334,22 +343,23 @@ def account_risk(
         key=lambda border: (-border[0], border[1]),
     )
     before = _borders_before(borders, F.col("fraud_amount_touched"), F.col("account_id"))
-    amount = F.col("fraud_amount_touched")
+    losses = Money.measured(scored, "fraud_amount_touched")
 
     def with_place(accounts: DataFrame) -> DataFrame:
         return accounts.withColumn("listed_before", before)
 
     # one row per gap between listed accounts, so at most limit + 1 rows
     up_to_here = Window.orderBy("listed_before").rowsBetween(Window.unboundedPreceding, 0)
-    cumulative = (
-        with_place(scored)
-        .groupBy("listed_before")
-        .agg(money_parts(amount)[0].alias("gap_amount"))
-        .select(
-            "listed_before",
-            F.sum("gap_amount").over(up_to_here).cast("double").alias("cumulative_amount"),
-            F.sum("gap_amount").over(Window.partitionBy()).cast("double").alias("total_amount"),
-        )
+    gaps = with_place(losses.on(scored)).groupBy("listed_before").agg(*losses.stored_sums("gap"))
+    gap = Money.stored(gaps, "gap")
+
+    def over(window: WindowSpec) -> Column:
+        return gap.value({name: F.sum(name).over(window) for name in gap.names()})
+
+    cumulative = gaps.select(
+        "listed_before",
+        over(up_to_here).alias("cumulative_amount"),
+        over(Window.partitionBy()).alias("total_amount"),
     )
     # the window covers the listed accounts only
     return (

@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.measures import (
+    Money,
     count_where,
-    money_parts,
-    money_value,
     percent,
     ratio,
     round_to,
@@ -21,31 +20,25 @@ HIGH_RISK_ACCOUNTS = 1000
 LARGE_ALERTS = 500
 
 
-def activity(transactions: DataFrame) -> DataFrame:
+def activity(transactions: DataFrame, money: Money | None = None) -> DataFrame:
     """Totals per day, hour and type: at most five rows per hour of history.
 
-    The day, hour and type tables all add up these rows, so one scan serves them all.
+    The day, hour and type tables all add up these rows, so one scan serves them all. money is
+    Money.measured of the amounts if known.
     """
-    amount = F.col("amount")
-    amount_exact, amount_rest = money_parts(amount)
-    fraud_exact, fraud_rest = money_parts(F.when(F.col("is_fraud"), amount).otherwise(0.0))
-    return transactions.groupBy("transaction_day", "transaction_hour", "transaction_type").agg(
+    money = money or Money.measured(transactions, "amount")
+    keys = ("transaction_day", "transaction_hour", "transaction_type")
+    return money.on(transactions).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("transactions"),
         count_where(F.col("is_fraud")).alias("frauds"),
         count_where(F.col("is_flagged_fraud")).alias("source_flagged"),
-        amount_exact.alias("amount_exact"),
-        amount_rest.alias("amount_rest"),
-        fraud_exact.alias("fraud_amount_exact"),
-        fraud_rest.alias("fraud_amount_rest"),
+        *money.stored_sums("amount"),
+        *money.stored_sums("fraud_amount", F.col("is_fraud")),
     )
 
 
-def _amount() -> Column:
-    return money_value(F.sum("amount_exact"), F.sum("amount_rest"))
-
-
-def _fraud_amount() -> Column:
-    return money_value(F.sum("fraud_amount_exact"), F.sum("fraud_amount_rest"))
+def _fraud_amount(activity_rows: DataFrame) -> Column:
+    return Money.stored(activity_rows, "fraud_amount").total()
 
 
 def fraud_summary_daily(activity_rows: DataFrame) -> DataFrame:
@@ -56,10 +49,10 @@ def fraud_summary_daily(activity_rows: DataFrame) -> DataFrame:
             total.alias("total_transactions"),
             frauds.alias("fraud_transactions"),
             percent(frauds, total, 4).alias("fraud_rate_pct"),
-            round_to(_amount(), 2).alias("total_amount"),
-            round_to(_fraud_amount(), 2).alias("fraud_amount"),
+            round_to(Money.stored(activity_rows, "amount").total(), 2).alias("total_amount"),
+            round_to(_fraud_amount(activity_rows), 2).alias("fraud_amount"),
             F.sum("source_flagged").alias("source_flagged_transactions"),
-            round_to(ratio(_fraud_amount(), frauds), 2).alias("avg_fraud_amount"),
+            round_to(ratio(_fraud_amount(activity_rows), frauds), 2).alias("avg_fraud_amount"),
         )
         .orderBy(F.asc_nulls_last("transaction_day"))
     )
@@ -73,9 +66,9 @@ def fraud_by_transaction_type(activity_rows: DataFrame) -> DataFrame:
             total.alias("total_transactions"),
             frauds.alias("fraud_transactions"),
             percent(frauds, total, 4).alias("fraud_rate_pct"),
-            round_to(_amount(), 2).alias("total_amount"),
-            round_to(_fraud_amount(), 2).alias("fraud_amount"),
-            round_to(ratio(_fraud_amount(), frauds), 2).alias("avg_fraud_amount"),
+            round_to(Money.stored(activity_rows, "amount").total(), 2).alias("total_amount"),
+            round_to(_fraud_amount(activity_rows), 2).alias("fraud_amount"),
+            round_to(ratio(_fraud_amount(activity_rows), frauds), 2).alias("avg_fraud_amount"),
         )
         .orderBy(F.desc("fraud_rate_pct"), F.desc("fraud_amount"), "transaction_type")
     )
@@ -89,7 +82,7 @@ def hourly_fraud_trend(activity_rows: DataFrame) -> DataFrame:
             total.alias("total_transactions"),
             frauds.alias("fraud_transactions"),
             percent(frauds, total, 4).alias("fraud_rate_pct"),
-            round_to(_fraud_amount(), 2).alias("fraud_amount"),
+            round_to(_fraud_amount(activity_rows), 2).alias("fraud_amount"),
         )
         .orderBy(F.asc_nulls_last("transaction_hour"))
     )

@@ -15,8 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.measures import Money, amount_kind
 from ledgerlens.operators import analytics, rules
-from ledgerlens.operators.selection import exact_quantiles, merged_slices, value_slices
+from ledgerlens.operators.selection import exact_quantiles, value_slices
 from ledgerlens.schema import EXPECTED_TRANSACTION_TYPES
 from ledgerlens.sources.lake import Lake
 
@@ -24,8 +25,8 @@ _KEYS = ("transaction_day", "transaction_type")
 
 
 def amount_slices(transactions: DataFrame) -> DataFrame:
-    """Counts of the amounts per day, type and value slice."""
-    return value_slices(transactions, "amount", _KEYS)
+    """Counts of the amounts per day, type, value slice and kind of number."""
+    return value_slices(transactions, "amount", _KEYS, kind=amount_kind(F.col("amount")))
 
 
 def account_sketches(transactions: DataFrame) -> DataFrame:
@@ -68,9 +69,30 @@ class Questions:
         tables = (lake.table(name) for name in ("silver_transactions", "amount_slices", "account_sketches"))
         return cls(*tables, first_day, last_day, types)
 
+    @cached_property
+    def _parts(self) -> pd.DataFrame:
+        """Slices of the part added up over days and types: some thousand rows at most."""
+        return (
+            self._slices.groupBy("slice", "kind")
+            .agg(F.sum("rows").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high"))
+            .toPandas()
+        )
+
     @cached_property
     def _counts(self) -> pd.DataFrame:
-        return merged_slices(self._slices)
+        merged = self._parts.groupby("slice").agg({"rows": "sum", "low": "min", "high": "max"})
+        return merged.assign(slot=0)
+
+    @cached_property
+    def _money(self) -> Money:
+        kinds = self._parts.dropna(subset=["kind"])
+        sizes = kinds[["low", "high"]].abs()
+        rows = zip(kinds["kind"].astype(int), sizes.min(axis=1), sizes.max(axis=1), strict=True)
+        ranges: dict[int, tuple[float, float]] = {}
+        for kind, least, most in rows:
+            known = ranges.get(kind, (least, most))
+            ranges[kind] = min(known[0], least), max(known[1], most)
+        return Money.of_kinds("amount", [(kind, *sizes) for kind, sizes in ranges.items()])
 
     def quantiles(self, fractions: Iterable[float]) -> dict[float, float | None]:
         """Exact quantiles of the amounts; the first call also finds those the rules offer."""
@@ -96,25 +118,25 @@ class Questions:
         )
 
     def overview_metrics(self) -> DataFrame:
-        return analytics.overview_metrics(self.transactions, self.quantiles, self.approx_accounts())
+        return analytics.overview_metrics(self.transactions, self.quantiles, self.approx_accounts(), self._money)
 
     def type_risk(self) -> DataFrame:
-        return analytics.type_risk(self.transactions)
+        return analytics.type_risk(self.transactions, self._money)
 
     def behavior_signals(self) -> DataFrame:
-        return analytics.behavior_signals(self.transactions, self.quantiles)
+        return analytics.behavior_signals(self.transactions, self.quantiles, self._money)
 
     def amount_decile_risk(self) -> DataFrame:
         return analytics.amount_decile_risk(self.transactions, self._counts)
 
     def account_risk(self) -> DataFrame:
-        return analytics.account_risk(self.transactions)
+        return analytics.account_risk(self.transactions, money=self._money)
 
     def rule_performance(self, rule: rules.AlertRule | None = None) -> DataFrame:
-        return rules.rule_performance(self.transactions, rule, self.quantiles)
+        return rules.rule_performance(self.transactions, rule, self.quantiles, self._money)
 
     def rule_grid(self, types: Iterable[str] = rules.DEFAULT_RULE_TYPES) -> DataFrame:
-        return rules.rule_grid(self.transactions, types, self.quantiles)
+        return rules.rule_grid(self.transactions, types, self.quantiles, self._money)
 
     def suspicious_transactions(self) -> DataFrame:
         return rules.suspicious_transactions(self.transactions, quantiles=self.quantiles)

@@ -10,10 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.measures import (
+    Money,
     count_where,
-    money_parts,
-    money_total_where,
-    money_value,
     percent,
     ratio,
     round_to,
@@ -66,17 +64,20 @@ class AlertRule:
         return F.coalesce(condition, F.lit(False))
 
 
-def _performance(transactions: DataFrame, alert: Column, *extra: Column) -> DataFrame:
-    is_fraud, amount = F.col("is_fraud"), F.col("amount")
-    counts = transactions.agg(
+def _performance(
+    transactions: DataFrame, alert: Column, *extra: Column, money: Money | None = None
+) -> DataFrame:
+    is_fraud = F.col("is_fraud")
+    money = money or Money.measured(transactions, "amount")
+    counts = money.on(transactions).agg(
         *extra,
         count_where(alert).alias("alerts"),
         count_where(alert & is_fraud).alias("true_positives"),
         count_where(alert & ~is_fraud).alias("false_positives"),
         count_where(~alert & is_fraud).alias("false_negatives"),
         count_where(is_fraud).alias("all_frauds"),
-        round_to(money_total_where(alert & is_fraud, amount), 2).alias("fraud_amount_captured"),
-        round_to(money_total_where(is_fraud, amount), 2).alias("total_fraud_amount"),
+        round_to(money.total(alert & is_fraud), 2).alias("fraud_amount_captured"),
+        round_to(money.total(is_fraud), 2).alias("total_fraud_amount"),
     )
     return _with_rates(counts)
 
@@ -108,18 +109,21 @@ def source_flag_performance(transactions: DataFrame) -> DataFrame:
 
 
 def rule_performance(
-    transactions: DataFrame, rule: AlertRule | None = None, quantiles: Quantiles | None = None
+    transactions: DataFrame,
+    rule: AlertRule | None = None,
+    quantiles: Quantiles | None = None,
+    money: Money | None = None,
 ) -> DataFrame:
     """One row: threshold, counts, precision, recall, F1 and captured amount of a rule."""
     rule = rule or AlertRule()
     threshold = amount_quantile(transactions, rule.percentile, quantiles)
     # NULL on empty input, like the counts
     shown = F.max(F.lit(threshold).cast("double")).alias("amount_threshold")
-    return _performance(transactions, rule.alert(threshold), shown)
+    return _performance(transactions, rule.alert(threshold), shown, money=money)
 
 
 def rule_cube(
-    transactions: DataFrame, quantiles: Quantiles | None = None
+    transactions: DataFrame, quantiles: Quantiles | None = None, money: Money | None = None
 ) -> tuple[DataFrame, dict[float, float | None]]:
     """Counts of all transactions by what any rule can ask of them, and the amount thresholds.
 
@@ -139,14 +143,14 @@ def rule_cube(
     def known(condition: Column) -> Column:
         return F.coalesce(condition, F.lit(False))
 
-    exact, rest = money_parts(F.col("amount"))
-    cube = transactions.groupBy(
+    money = money or Money.measured(transactions, "amount")
+    cube = money.on(transactions).groupBy(
         band.alias("band"),
         "transaction_type",
         known(sender_drained()).alias("drained"),
         known(receiver_is_customer()).alias("customer"),
         known(F.col("is_fraud")).alias("fraud"),
-    ).agg(F.count(F.lit(1)).alias("n"), exact.alias("amount_exact"), rest.alias("amount_rest"))
+    ).agg(F.count(F.lit(1)).alias("n"), *money.stored_sums("amount"))
     return cube, thresholds
 
 
@@ -154,12 +158,14 @@ def rule_grid(
     transactions: DataFrame,
     types: Iterable[str] = DEFAULT_RULE_TYPES,
     quantiles: Quantiles | None = None,
+    money: Money | None = None,
 ) -> DataFrame:
     """rule_performance of every setting of the rule for some types, one row each.
 
     All 16 settings are added up from one rule_cube. No transactions give no rows.
     """
-    cube, thresholds = rule_cube(transactions, quantiles)
+    cube, thresholds = rule_cube(transactions, quantiles, money)
+    money = Money.stored(cube, "amount")
     settings = [
         F.struct(
             F.lit(percentile).alias("percentile"),
@@ -182,12 +188,6 @@ def rule_grid(
     def total(condition: Column) -> Column:
         return F.sum(F.when(condition, F.col("n")).otherwise(0))
 
-    def amount(condition: Column) -> Column:
-        exact = F.when(condition, F.col("amount_exact")).otherwise(0)
-        return round_to(
-            money_value(F.sum(exact), F.sum(F.when(condition, F.col("amount_rest")))), 2
-        )
-
     setting = [
         "percentile", "require_sender_drained", "require_customer_receiver", "amount_threshold"
     ]
@@ -200,8 +200,8 @@ def rule_grid(
             total(alert & ~fraud).alias("false_positives"),
             total(~alert & fraud).alias("false_negatives"),
             total(fraud).alias("all_frauds"),
-            amount(alert & fraud).alias("fraud_amount_captured"),
-            amount(fraud).alias("total_fraud_amount"),
+            round_to(money.total(alert & fraud), 2).alias("fraud_amount_captured"),
+            round_to(money.total(fraud), 2).alias("total_fraud_amount"),
         )
     )
     return _with_rates(counts).orderBy(*setting)

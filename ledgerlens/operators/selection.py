@@ -91,8 +91,8 @@ def select_ranks(
 
     groups are a few conditions that exclude each other, without them all rows are group 0.
     ranks_for(group, rows) names the ranks wanted once the row count is known. NULL values
-    do not count, NaN sorts last. first_counts are merged_slices of the same rows if known,
-    which saves the pass over all of them. Returns {group: (rows, {rank: Pick})}; an absent
+    do not count, NaN sorts last. first_counts are value_slices of the same rows
+    added up (slot 0, rows, low, high) if known, which saves the pass over all of them. Returns {group: (rows, {rank: Pick})}; an absent
     group has no rows.
     """
     x = F.col(column)
@@ -154,8 +154,10 @@ def _count_parts(
     )
 
 
-def value_slices(df: DataFrame, column: str, keys: Iterable[str]) -> DataFrame:
-    """Rows, least and greatest value per key and slice of the values.
+def value_slices(
+    df: DataFrame, column: str, keys: Iterable[str], **parts: Column
+) -> DataFrame:
+    """Rows, least and greatest value per key and slice of the values, and per further parts.
 
     These counts can be added up over any keys, so a table of them answers the first pass of a
     search on every selection of keys. It has at most SLICES_PER_OCTAVE rows per key and
@@ -164,21 +166,15 @@ def value_slices(df: DataFrame, column: str, keys: Iterable[str]) -> DataFrame:
     x = F.col(column)
     return (
         df.filter(x.isNotNull())
-        .groupBy(*keys, _magnitude(x).alias("slice"))
+        .groupBy(
+            *keys,
+            _magnitude(x).alias("slice"),
+            *[part.alias(name) for name, part in parts.items()],
+        )
         .agg(F.count(F.lit(1)).alias("rows"), F.min(x).alias("low"), F.max(x).alias("high"))
     )
 
 
-def merged_slices(slices: DataFrame) -> pd.DataFrame:
-    """value_slices added up over all their keys, as first_counts of a search."""
-    return (
-        slices.groupBy("slice")
-        .agg(F.sum("rows").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high"))
-        .select(F.lit(0).alias("slot"), "rows", "low", "high")
-        .toPandas()
-    )
-
-
 def _magnitude(x: Column) -> Column:
     """A number shared by values of one sign within 1/SLICES_PER_OCTAVE of a doubling.
 

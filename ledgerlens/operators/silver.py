@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.casts import double_text, text_or_empty
-from ledgerlens.functions.measures import money_value, percent, ratio, round_to
+from ledgerlens.functions.measures import Money, percent, ratio, round_to
 from ledgerlens.operators.quality import clean_rows
 
 
@@ -85,8 +85,8 @@ def silver_accounts(metrics: DataFrame) -> DataFrame:
 def silver_transaction_types(activity: DataFrame) -> DataFrame:
     """Totals per transaction type, from gold.activity."""
     total, frauds = F.sum("transactions"), F.sum("frauds")
-    amount = money_value(F.sum("amount_exact"), F.sum("amount_rest"))
-    fraud_amount = money_value(F.sum("fraud_amount_exact"), F.sum("fraud_amount_rest"))
+    amount = Money.stored(activity, "amount").total()
+    fraud_amount = Money.stored(activity, "fraud_amount").total()
     return (
         activity.groupBy("transaction_type")
         .agg(

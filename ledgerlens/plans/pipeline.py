@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ledgerlens.functions.measures import Money
 from ledgerlens.operators.accounts import account_events, account_metrics
 from ledgerlens.operators.gold import (
     activity,
@@ -100,8 +101,10 @@ def run_transform(
     scored = scored or scored_bronze(spark, root)
     silver = lake.write(silver_transactions(scored), "silver_transactions")
 
-    metrics = scratch.table(account_metrics(account_events(silver)), "account-metrics")
-    totals = scratch.table(activity(silver), "activity")
+    slices = lake.write(amount_slices(silver), "amount_slices")
+    money = Money.of_slices(slices, "amount")
+    metrics = scratch.table(account_metrics(account_events(silver), money), "account-metrics")
+    totals = scratch.table(activity(silver, money), "activity")
     lake.write(silver_accounts(metrics), "silver_accounts")
     lake.write(silver_transaction_types(totals), "silver_transaction_types")
     lake.write(fraud_summary_daily(totals), "gold_fraud_summary_daily")
@@ -109,7 +112,6 @@ def run_transform(
     lake.write(high_risk_accounts(metrics), "gold_high_risk_accounts")
     lake.write(hourly_fraud_trend(totals), "gold_hourly_fraud_trend")
     lake.write(large_transaction_alerts(silver), "gold_large_transaction_alerts")
-    lake.write(amount_slices(silver), "amount_slices")
     lake.write(account_sketches(silver), "account_sketches")
     lake.register_views()
     return {

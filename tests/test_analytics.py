@@ -125,18 +125,19 @@ def test_a_transfer_to_oneself_counts_twice(spark):
 
 
 def test_money_totals_are_exact_and_keep_nan(spark):
-    from ledgerlens.functions.measures import money_mean, money_total
+    from ledgerlens.functions.measures import Money
 
     rows = [("a", 0.1)] * 10 + [("a", 1e11), ("b", 1e300), ("b", 1.5), ("c", float("nan"))]
     rows += [("c", 1.0), ("d", None), ("e", -0.3), ("e", 0.1), ("e", 0.2)]
     df = spark.createDataFrame(rows, "k string, x double")
+    money = Money.measured(df, "x")
     totals = {
         row["k"]: row["total"]
-        for row in df.groupBy("k").agg(money_total(F.col("x")).alias("total")).collect()
+        for row in money.on(df).groupBy("k").agg(money.total().alias("total")).collect()
     }
     assert totals["a"] == 100000000001.0 and totals["b"] == 1e300 and totals["e"] == 0.0
     assert totals["c"] != totals["c"] and totals["d"] is None
-    assert df.filter("k = 'd'").agg(money_mean(F.col("x"))).first()[0] is None
+    assert money.on(df).filter("k = 'd'").agg(money.mean()).first()[0] is None
 
 
 def test_double_text(spark):

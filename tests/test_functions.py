@@ -1,19 +1,23 @@
 """Money sums and number text at their extremes."""
 
+import math
+import random
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.casts import double_text, tolerant_double, tolerant_int
-from ledgerlens.functions.measures import money_total
+from ledgerlens.functions.measures import Money
 from ledgerlens.operators.accounts import fraud_account_metrics
 from ledgerlens.schema import RAW_COLUMNS, RAW_SCHEMA
 from ledgerlens.sources.raw_csv import read_raw
 
 
 def total(df):
-    return df.agg(money_total(F.col("x")).alias("t")).first()["t"]
+    money = Money.measured(df, "x")
+    return money.on(df).agg(money.total().alias("t")).first()["t"]
 
 
 def test_many_large_amounts_do_not_overflow(spark):
@@ -38,6 +42,67 @@ def test_totals_are_exact_in_any_order(spark, values):
     assert total(rows) == total(rows.orderBy("x").repartition(3)) == exact
 
 
+def test_twenty_million_amounts_near_a_quintillion(spark):
+    assert total(spark.range(20_000_000).select(F.lit(9e17).alias("x"))) == 1.8e25
+
+
+def test_a_million_amounts_of_thirteen_places(spark):
+    assert total(spark.range(1_000_000).select(F.lit(1e-13).alias("x"))) == 1e-7
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_doubles_are_summed_exactly(spark, seed):
+    """Against exact fractions; amounts of some decimal places count as those decimals."""
+    rng = random.Random(seed)
+    kinds = [
+        lambda: rng.uniform(-1, 1) * 10.0 ** rng.randint(-300, 300),
+        lambda: round(rng.uniform(-1e6, 1e6), 2),
+        lambda: rng.choice([1e300, -1e300, 5e-324, -2.5e-310, 1.7e306, 0.0, -0.0, 2.0**70, 1e22 / 3]),
+        lambda: rng.randint(-(10**18), 10**18) * 1e-21,
+    ]
+    for kind in (kinds[:1], kinds[2:3], kinds[1:2], kinds):
+        values = [rng.choice(kind)() for _ in range(60)]
+        values += [-v for v in values[:40]]
+        exact = sum((Fraction(meant(v)) for v in values), Fraction(0))
+        rows = spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
+        found, wanted = total(rows), float(exact)
+        # binary and decimal amounts together: the last place may differ
+        slack = math.ulp(wanted) if len(kind) > 1 else 0.0
+        assert abs(found - wanted) <= slack, (found, wanted)
+
+
+def meant(value):
+    """What an amount counts as: the decimal of 6, 14 or 22 places it is nearest to, or itself."""
+    for places in (6, 14, 22):
+        whole = float(round(value * 10.0**places)) if abs(value * 10.0**places) < 2**53 else math.inf
+        if abs(whole) < 2**53 and whole / 10.0**places == value:
+            return Fraction(int(whole), 10**places)
+    return Fraction(value)
+
+
+def test_1e300_and_its_opposite_leave_nothing_behind(spark):
+    for values in ([1e300, 1.25, -1e300], [1.25, -1e300, 1e300], [-1e300, 1e-13, 1e300], [3.0, 1e20, -1e20, 0.1]):
+        rows = spark.createDataFrame([(v,) for v in values], "x double")
+        assert total(rows) == float(sum(Fraction(meant(v)) for v in values))
+
+
+def test_amounts_that_were_not_measured_are_refused(spark):
+    rows = spark.createDataFrame([(1e300,)], "x double")
+    with pytest.raises(Exception, match="measured"):
+        everyday = Money("x")
+        everyday.on(rows).agg(everyday.total()).collect()
+
+
+def test_sums_can_be_stored_and_added_again(spark):
+    rows = spark.createDataFrame([(n % 3, v) for n, v in enumerate([0.1, 1e300, 2.0, 0.2, -1e300, 1e-9, 0.3])], "k int, x double")
+    money = Money.measured(rows, "x")
+    parts = money.on(rows).groupBy("k").agg(*money.stored_sums("s"), *money.stored_sums("t", F.col("x") < 1))
+    for name, values in (("s", [0.1, 1e300, 2.0, 0.2, -1e300, 1e-9, 0.3]), ("t", [0.1, 0.2, -1e300, 1e-9, 0.3])):
+        exact = float(sum(Fraction(meant(v)) for v in values))
+        stored = Money.stored(parts, name)
+        assert parts.agg(stored.total()).first()[0] == exact
+
+
 def test_infinite_amounts_show(spark):
     rows = spark.createDataFrame([(float("inf"),), (1.0,)], "x double")
     assert total(rows) == float("inf")
