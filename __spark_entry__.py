@@ -10,11 +10,12 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from ledgerlens.functions.casts import double_text  # noqa: E402
 from ledgerlens.functions.measures import Money  # noqa: E402
 from ledgerlens.operators import accounts, analytics, gold, quality, rules, silver  # noqa: E402
 from ledgerlens.operators.questions import Questions  # noqa: E402
@@ -25,10 +26,16 @@ from ledgerlens.plans.pipeline import (  # noqa: E402
     run_transform,
     scored_bronze,
 )
-from ledgerlens.schema import TABLES  # noqa: E402
+from ledgerlens.schema import REPORT_TABLES, TABLES  # noqa: E402
 from ledgerlens.sources.events import transactions_from_events, write_raw_csv  # noqa: E402
 from ledgerlens.sources.lake import Lake  # noqa: E402
-from ledgerlens.sources.raw_csv import fixed_splits, read_raw, to_bronze  # noqa: E402
+from ledgerlens.sources.raw_csv import (  # noqa: E402
+    bronze_records,
+    fixed_splits,
+    read_raw,
+    sample_files,
+    to_bronze,
+)
 from ledgerlens.sources.scratch import Scratch  # noqa: E402
 from oracle_queries import ORACLE  # noqa: E402
 
@@ -104,11 +111,124 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bronze(spark: SparkSession, sf_dir: str, sample_rows: int | None = None) -> DataFrame:
     with fixed_splits(spark):
-        raw = read_raw(spark, _raw_csv(spark, sf_dir))
+        files: str | list[str] = _raw_csv(spark, sf_dir)
+        if sample_rows:
+            files = sample_files(
+                spark, files, sample_rows, lambda some: read_raw(spark, some).count()
+            )
+        raw = read_raw(spark, files)
         bronze = to_bronze(raw, Scratch(spark, "bronze"), sample_rows)
     return bronze.drop("ingested_at", "source_file")
 
 
+def _broken_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The transactions as CSV with line breaks and quotes in receivers, and cells that are no numbers."""
+
+    def build(path: str) -> None:
+        rows = transactions_from_events(spark, sf_dir)
+
+        def every(step: int, offset: int) -> Column:
+            return F.col("source_row_number") % step == offset
+
+        broken = rows.withColumns(
+            {
+                "nameDest": F.when(every(13, 4), F.concat("nameDest", F.lit('\nsecond "line",\n')))
+                .otherwise(F.col("nameDest")),
+                "amount": F.when(every(503, 21), "n/a").otherwise(F.col("amount").cast("string")),
+                "isFraud": F.when(every(601, 33), "yes").otherwise(F.col("isFraud").cast("string")),
+            }
+        )
+        write_raw_csv(broken, path, escape='"')
+
+    return _once(spark, sf_dir, "broken.csv", build)
+
+
+def _records(spark: SparkSession, sf_dir: str, split_bytes: int) -> DataFrame:
+    """Bronze rows of the broken CSV, cut into splits of some bytes whatever its size."""
+    path, scratch = _broken_csv(spark, sf_dir), Scratch(spark, "records")
+    settings = {"spark.sql.files.maxPartitionBytes": split_bytes, "spark.sql.files.openCostInBytes": 0}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        with fixed_splits(spark):
+            rows = bronze_records(spark, path, scratch)
+            return scratch.table(rows.drop("ingested_at", "source_file"), "bronze")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _bronze_bad_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(_records(spark, sf_dir, 1 << 22))
+
+
+def _number_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text that goes into transaction_id, for amounts far from everyday ones."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    value = F.col("value")
+    return events.select(
+        "event_id",
+        double_text(value * F.lit(1e16)).alias("huge_text"),
+        double_text(value * F.lit(1e-7)).alias("tiny_text"),
+        double_text(-value).alias("negative_text"),
+    )
+
+
+def _load_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether every row of the lake filled from CSV says when and from which file it came."""
+    bronze = _csv_lake(spark, sf_dir).table("bronze_transactions")
+    bad = _csv_lake(spark, sf_dir).table("quarantine_bad_transactions")
+    rows = bronze.agg(
+        F.count(F.lit(1)).alias("bronze_rows"),
+        F.bool_and(F.col("source_file").endswith(".csv")).alias("all_from_csv"),
+        F.bool_and(F.col("ingested_at") <= F.current_timestamp()).alias("all_loaded"),
+    )
+    quarantined = F.coalesce(F.col("quarantined_at") >= F.col("ingested_at"), F.lit(False))
+    return rows.join(
+        bad.agg(F.bool_and(quarantined).alias("all_quarantined_later")), how="cross"
+    )  # one row each
+
+
+def _view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts asked of the views the lake registers."""
+    counts = None
+    for name in _lake(spark, sf_dir).register_views():
+        row = spark.sql(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}")
+        counts = row if counts is None else counts.unionByName(row)
+    return counts
+
+
+def _missing_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report tables a lake with two of them lacks, beside the row count of those it has."""
+    part = Lake(spark, Scratch(spark, "part-lake").root)
+    names = ("silver_transactions", "gold_hourly_fraud_trend")
+    rows = None
+    for name in names:
+        part.write(_lake(spark, sf_dir).table(name), name)
+    missing = part.missing_tables()
+    for name in REPORT_TABLES:
+        count = F.lit(None).cast("long") if name in missing else F.lit(part.count(name))
+        row = spark.range(1).select(
+            F.lit(name).alias("table_name"), F.lit(part.has(name)).alias("present"),
+            count.alias("row_count"),
+        )
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
+def _old_quality_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results kept before runs had an id, read together with newer ones."""
+    history = History(spark, Scratch(spark, "old-history").root)
+    results = quality.check_results(_scored(spark, sf_dir))
+    results.withColumn("checked_at", F.current_timestamp()).write.parquet(history.results_path)
+    history.append_quality(results)
+    return history.quality_results().select(
+        "check_name", "failed_rows", "total_rows", "status",
+        F.col("quality_run_id").isNotNull().alias("has_run_id"),
+    )
+
+
 def _table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark, sf_dir)
     counts = None
@@ -238,6 +358,14 @@ def _lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "bronze_transactions": _bronze,
         "bronze_sample": lambda spark, sf_dir: _bronze(spark, sf_dir, SAMPLE_ROWS),
+        "bronze_quoted_breaks": lambda spark, sf_dir: _records(spark, sf_dir, 1 << 15),
+        "bronze_bad_cells": _bronze_bad_cells,
+        "number_texts": _number_texts,
+        "load_columns": _load_columns,
+        "view_counts": _view_counts,
+        "missing_tables": _missing_tables,
+        "old_quality_results": _old_quality_results,
+        "account_ranks": _on_silver(analytics.account_ranks),
         "quality_scored": lambda spark, sf_dir: _scored(spark, sf_dir).drop("ingested_at"),
         "quarantine": lambda spark, sf_dir: quality.quarantine(_scored(spark, sf_dir)).drop(
             "ingested_at", "quarantined_at"

@@ -44,6 +44,18 @@ def blank_to_null(column: Column) -> Column:
     return F.nullif(trimmed, F.lit(""))
 
 
+def _shortest(x: Column, text: Column) -> Column:
+    """Text with an exponent, with no more digits than it takes to tell the double from others.
+
+    Older Java versions sometimes write one digit too many, always with 17 digits or more.
+    """
+    too_long = F.length(F.regexp_replace(F.substring_index(text, "E", 1), "[-.]", "")) >= 17
+    sixteen, seventeen = F.format_string("%.15E", x), F.format_string("%.16E", x)
+    return (
+        F.when(~too_long, text).when(sixteen.cast("double") == x, sixteen).otherwise(seventeen)
+    )
+
+
 def double_text(x: Column) -> Column:
     """A double as plain decimal text, '12345678.5' rather than '1.23456785E7'.
 
@@ -53,11 +65,12 @@ def double_text(x: Column) -> Column:
     text = x.cast("string")
     written_out = F.regexp_replace(F.format_string("%.22f", x), r"(\.\d+?)0+$", "$1")
     in_range = (F.abs(x) >= F.lit(1e-4)) & (F.abs(x) < F.lit(1e16))
-    digits = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
-    power = F.substring_index(text, "E", -1)
+    short = _shortest(x, text)
+    digits = F.regexp_replace(F.substring_index(short, "E", 1), r"\.?0*$", "")
+    power = F.substring_index(short, "E", -1)
     exponent = F.concat(
         F.when(power.startswith("-"), "-").otherwise("+"),
-        F.regexp_replace(F.regexp_replace(power, "-", ""), r"^(\d)$", "0$1"),
+        F.regexp_replace(F.regexp_replace(power, "[-+]", ""), r"^(\d)$", "0$1"),
     )
     infinite = F.abs(x) == F.lit(float("inf"))
     return (

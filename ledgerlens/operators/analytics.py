@@ -24,6 +24,7 @@ from ledgerlens.functions.predicates import (
     type_in,
 )
 from ledgerlens.operators.accounts import fraud_account_metrics
+from ledgerlens.operators.prefix_scan import prefix_scan
 from ledgerlens.operators.selection import Quantiles, exact_quantiles, tile_of
 from ledgerlens.schema import EXPECTED_TRANSACTION_TYPES
 from ledgerlens.sources.scratch import Scratch
@@ -293,34 +294,31 @@ def _borders_before(borders: list[tuple[float, str]], amount: Column, account: C
     ).otherwise(_borders_before(borders[:middle], amount, account))
 
 
-def account_risk(
-    transactions: DataFrame,
-    limit: int = RANKED_ACCOUNTS,
-    scratch: Scratch | None = None,
-    money: Money | None = None,
-) -> DataFrame:
-    """The riskiest accounts with rank, band and their place in the loss concentration.
+def _by_risk() -> list[Column]:
+    return [F.desc("risk_score"), F.desc("fraud_amount_touched"), F.asc("account_id")]
 
-    cumulative_loss_pct is the share of the fraud amount of all fraud-touching accounts
-    that falls on this account and those with a larger fraud amount. Only the listed
-    accounts need it, so the others are summed up between them instead of being sorted.
-    """
-    scratch = scratch or Scratch(transactions.sparkSession, "account-risk")
-    # Weights, caps and bands of the score.
+
+def _risk_band() -> Column:
+    # Bands of the score.
+    return (
+        F.when(F.col("risk_score") >= 120, "CRITICAL")
+        .when(F.col("risk_score") >= 80, "HIGH")
+        .when(F.col("risk_score") >= 40, "MEDIUM")
+        .otherwise("LOW")
+    )
+
+
+def _scored_accounts(transactions: DataFrame, money: Money | None) -> DataFrame:
+    """Totals and risk score of every account that touches a fraud."""
+    # Weights and caps of the score.
     score = (
         F.col("fraud_transactions_touched") * F.lit(40.0)
         + F.least(F.col("fraud_amount_touched") / F.lit(100000.0), F.lit(75.0))
         + F.least(F.col("fraud_touch_rate_pct") * F.lit(2.0), F.lit(50.0))
         + F.when(F.col("sent_transactions") == 0, 5.0).otherwise(0.0)
     )
-    band = (
-        F.when(F.col("risk_score") >= 120, "CRITICAL")
-        .when(F.col("risk_score") >= 80, "HIGH")
-        .when(F.col("risk_score") >= 40, "MEDIUM")
-        .otherwise("LOW")
-    )
     touch_rate = ratio(F.col("fraud_transactions_touched"), F.col("total_transactions_touched"))
-    scored = scratch.table(
+    return (
         fraud_account_metrics(transactions, money)
         .select(
             "account_id",
@@ -332,11 +330,52 @@ def account_risk(
             round_to(F.col("fraud_amount"), 2).alias("fraud_amount_touched"),
             round_to(F.lit(100.0) * touch_rate, 4).alias("fraud_touch_rate_pct"),
         )
-        .withColumn("risk_score", round_to(score, 2)),
-        "scored-accounts",
+        .withColumn("risk_score", round_to(score, 2))
+    )
+
+
+def account_ranks(
+    transactions: DataFrame, scratch: Scratch | None = None, money: Money | None = None
+) -> DataFrame:
+    """Every account that touches a fraud, with its rank and its place in the loss concentration.
+
+    Both orders are distributed prefix scans over ranges of accounts. Equal scores and amounts
+    are told apart by account_id.
+    """
+    scratch = scratch or Scratch(transactions.sparkSession, "account-ranks")
+    scored = scratch.table(_scored_accounts(transactions, money), "scored-accounts")
+    ranked = prefix_scan(scored, _by_risk(), [], scratch).withColumnRenamed("row_rank", "risk_rank")
+    losses = Money.measured(scored, "fraud_amount_touched")
+    whole = losses.on(scored).agg(losses.total()).first()[0]
+    by_loss = [F.desc("fraud_amount_touched"), F.asc("account_id")]
+    placed = prefix_scan(losses.on(ranked), by_loss, losses.names(), scratch)
+    upto = losses.value({name: F.col(f"{name}_upto") for name in losses.names()})
+    return placed.select(
+        "account_id",
+        "risk_rank",
+        "risk_score",
+        _risk_band().alias("risk_band"),
+        "fraud_transactions_touched",
+        "fraud_amount_touched",
+        percent(upto, F.lit(whole).cast("double"), 2).alias("cumulative_loss_pct"),
     )
 
-    by_risk = [F.desc("risk_score"), F.desc("fraud_amount_touched"), F.asc("account_id")]
+
+def account_risk(
+    transactions: DataFrame,
+    limit: int = RANKED_ACCOUNTS,
+    scratch: Scratch | None = None,
+    money: Money | None = None,
+) -> DataFrame:
+    """The riskiest accounts with rank, band and their place in the loss concentration.
+
+    cumulative_loss_pct is the share of the fraud amount of all fraud-touching accounts
+    that falls on this account and those with a larger fraud amount. Only the listed
+    accounts need it, so the others are summed up between them instead of being sorted.
+    """
+    scratch = scratch or Scratch(transactions.sparkSession, "account-risk")
+    scored = scratch.table(_scored_accounts(transactions, money), "scored-accounts")
+    by_risk = _by_risk()
     listed = scratch.table(scored.orderBy(*by_risk).limit(limit), "listed-accounts")
     borders = sorted(
         ((row[0], row[1]) for row in listed.select("fraud_amount_touched", "account_id").collect()),
@@ -377,7 +416,7 @@ def account_risk(
             "fraud_amount_touched",
             "fraud_touch_rate_pct",
             "risk_score",
-            band.alias("risk_band"),
+            _risk_band().alias("risk_band"),
             percent(F.col("cumulative_amount"), F.col("total_amount"), 2).alias(
                 "cumulative_loss_pct"
             ),

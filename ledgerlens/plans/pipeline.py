@@ -41,7 +41,7 @@ def run_ingest(
     raw_file: str | None = None,
     sample_rows: int | None = None,
     schema: StructType | None = None,
-    mode: str = "FAILFAST",
+    mode: str = "KEEP",
 ) -> dict[str, int | str]:
     """CSV to bronze, partitioned by day.
 
@@ -126,7 +126,7 @@ def run_pipeline(
     raw_file: str | None = None,
     sample_rows: int | None = None,
     schema: StructType | None = None,
-    mode: str = "FAILFAST",
+    mode: str = "KEEP",
 ) -> dict[str, int | str]:
     """All stages; the run is recorded as SUCCESS, or as FAILED with the error and raised.
 

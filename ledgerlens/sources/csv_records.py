@@ -25,9 +25,9 @@ from ledgerlens.sources.scratch import Scratch
 BROADCAST_SPLITS = 1_000_000
 
 _SPLIT = ["split_file", "split_start"]
+_RECORD = "split_file string, split_start long, source_file string, piece long, record string"
 # From narrow to wide; a column gets the widest kind of its cells.
 _KINDS = (T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType())
-_OPTIONS = {"mode": "FAILFAST", "escape": '"'}
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -46,17 +46,31 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _kind(cell: Column) -> Column:
-    """Place in _KINDS of the narrowest type that holds a cell; empty cells fit everywhere."""
+    """Place in _KINDS of the narrowest type that holds a cell; empty cells fit everywhere.
+
+    Casts are only tried where a pattern fits, since one that fails is slow.
+    """
+    whole = F.when(cell.rlike(r"^\s*[+-]?\d{1,18}\s*$"), cell).try_cast("long")
     return (
-        F.when(cell.isNull() | (cell == "") | cell.try_cast("int").isNotNull(), 0)
-        .when(cell.try_cast("long").isNotNull(), 1)
-        .when(number_text(cell).try_cast("double").isNotNull(), 2)
+        F.when(cell.isNull() | (cell == "") | whole.between(-(1 << 31), (1 << 31) - 1), 0)
+        .when(whole.isNotNull(), 1)
+        .when(number_text(cell).isNotNull(), 2)
         .otherwise(3)
     )
 
 
-def _kinds(cells: Column, header: list[str]) -> list[Column]:
-    return [F.max(_kind(cells[name])) for name in header]
+def _kinds(header: list[str]) -> list[Column]:
+    return [F.max(_kind(F.col(cell))) for cell in _cell_names(header)]
+
+
+def _cell_names(header: list[str]) -> list[str]:
+    return [f"cell_{at}" for at in range(len(header))]
+
+
+def _with_cells(df: DataFrame, record: Column, header: list[str], mode: str) -> DataFrame:
+    """df with the text of every cell; inline keeps Spark from parsing once for each cell."""
+    parsed = F.from_csv(record, F.lit(_text_schema(header)), {"mode": mode, "escape": '"'})
+    return df.select("*", F.inline(F.array(parsed)).alias(*_cell_names(header)))
 
 
 def _like_header(line: str, header: list[str]) -> Column:
@@ -72,12 +86,11 @@ def _split_counts(lines: DataFrame, header: list[str], scratch: Scratch) -> Data
 
     The kinds hold if every line is a record, that is for splits that are read as they are.
     """
-    cells = F.from_csv("line", F.lit(_text_schema(header)), {**_OPTIONS, "mode": "PERMISSIVE"})
     like_header = _like_header("line", header)
     # a header's names are no cells, unless they stand in the middle of a file once more
     again = F.count_if(like_header) > F.max((F.col("split_start") == 0).cast("int"))
     counted = (
-        lines.withColumn("cells", F.when(~like_header, cells))
+        _with_cells(lines, F.when(~like_header, F.col("line")), header, "PERMISSIVE")
         .groupBy(*_SPLIT)
         .agg(
             F.count(F.lit(1)).alias("lines"),
@@ -86,7 +99,7 @@ def _split_counts(lines: DataFrame, header: list[str], scratch: Scratch) -> Data
             F.min("scan_id").alias("first_scan_id"),
             *[
                 F.when(again, len(_KINDS) - 1).otherwise(F.coalesce(kind, F.lit(0))).alias(f"kind_{at}")
-                for at, kind in enumerate(_kinds(F.col("cells"), header))
+                for at, kind in enumerate(_kinds(header))
             ],
         )
     )
@@ -193,8 +206,10 @@ def read_numbered(
     left_open = splits.groupBy("split_file").agg(F.sum("odd_lines").alias("n")).filter("n % 2 = 1")
     for row in left_open.limit(1).collect():
         raise ValueError(f"{row['split_file']} ends inside quotes")
-    records = _assembled(lines, splits, scratch)
-    cells = F.from_csv("record", F.lit(_text_schema(header)), _OPTIONS)
+    if splits.filter("not plain").isEmpty():
+        records = spark.createDataFrame([], _RECORD)
+    else:
+        records = _assembled(lines, splits, scratch)
 
     is_first = (F.col("split_start") == 0).cast("long")
     of_odd = records.groupBy(*_SPLIT).agg(F.count(F.lit(1)).alias("records"))
@@ -240,9 +255,8 @@ def read_numbered(
 
     plain_kinds = splits.filter("plain").agg(*[F.max(f"kind_{at}").alias(f"kind_{at}") for at in range(len(header))])
     other_kinds = (
-        records.filter(~is_header)
-        .withColumn("cells", cells)
-        .agg(*[kind.alias(f"kind_{at}") for at, kind in enumerate(_kinds(F.col("cells"), header))])
+        _with_cells(records.filter(~is_header), F.col("record"), header, "FAILFAST")
+        .agg(*[kind.alias(f"kind_{at}") for at, kind in enumerate(_kinds(header))])
     )
     widest = plain_kinds.unionByName(other_kinds).agg(
         *[F.coalesce(F.max(f"kind_{at}"), F.lit(0)).alias(f"kind_{at}") for at in range(len(header))]
@@ -250,12 +264,16 @@ def read_numbered(
     types = _column_types(list(widest), header, schema)
 
     def typed(name: str, kind: T.DataType) -> Column:
-        cell = F.col("cells")[name]
+        cell = F.col(name)
         return cell if isinstance(kind, T.StringType) else F.when(cell != "", cell).cast(kind)
 
-    rows = numbered.withColumn("cells", cells).select(
+    cells = _cell_names(header)
+    rows = _with_cells(numbered, F.col("record"), header, "FAILFAST").select(
         F.col("number").cast("long").alias("source_row_number"),
-        *[typed(name, kind).alias(name) for name, kind in zip(header, types, strict=True)],
+        *[
+            typed(cell, kind).alias(name)
+            for name, cell, kind in zip(header, cells, types, strict=True)
+        ],
         "source_file",
     )
     return rows, total

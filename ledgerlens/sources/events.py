@@ -81,12 +81,13 @@ def transactions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_raw_csv(transactions: DataFrame, path: str) -> None:
+def write_raw_csv(transactions: DataFrame, path: str, escape: str = "\\") -> None:
     """Write the raw columns as CSV files whose order is the order of source_row_number."""
     (
         transactions.orderBy("source_row_number")
         .select(*RAW_COLUMNS)
         .write.option("header", True)
+        .option("escape", escape)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
