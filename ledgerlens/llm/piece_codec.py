@@ -18,6 +18,7 @@ The model file is read on the driver only; its table of pieces goes to the execu
 from __future__ import annotations
 
 import re
+import sys
 from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -40,6 +41,8 @@ CACHED_PAIRS = 200_000
 ROWS_AT_ONCE = 256
 #: Longer words are encoded as a path, whose work grows with the length alone.
 LONGEST_MERGED = 48
+#: From so many new words on they are merged side by side.
+WORDS_SIDE_BY_SIDE = 32
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 WORD_START = re.compile(f"(?<=[^{SPACE}]){SPACE}")
 
@@ -47,6 +50,103 @@ State = tuple[int, str]
 Matrix = dict[State, set[State]]
 
 
+@dataclass(frozen=True)
+class Merges:
+    """The model's merging rule on numbered symbols: pieces, and the characters in them.
+
+    keys are left * size + right of all pairs that make a piece, in order; ranks (the higher the
+    better, from the scores) and results belong to them. A character in no piece is minus its
+    code, the room behind a word's end 0.
+    """
+
+    size: int
+    keys: np.ndarray
+    ranks: np.ndarray
+    results: np.ndarray
+    characters: np.ndarray
+    ids: np.ndarray
+    lengths: list[int]
+
+    @staticmethod
+    def of(scores: dict[str, float], ids: dict[str, int]) -> Merges:
+        symbols: dict[str, int] = {}
+        for piece in scores:
+            for symbol in (piece, *piece):
+                symbols.setdefault(symbol, len(symbols) + 1)
+        size = len(symbols) + 1
+        rank = {score: at for at, score in enumerate(sorted(set(scores.values())))}
+        pairs = sorted(
+            (symbols[piece[:cut]] * size + symbols[piece[cut:]], rank[score], symbols[piece])
+            for piece, score in scores.items()
+            for cut in range(1, len(piece))
+            if piece[:cut] in symbols and piece[cut:] in symbols
+        )
+        keys, ranks, results = (np.array(column, dtype=np.int64) for column in zip(*pairs, strict=True))
+        characters = -np.arange(sys.maxunicode + 1, dtype=np.int32)
+        numbers = np.full(size, -1, dtype=np.int32)
+        for symbol, number in symbols.items():
+            numbers[number] = ids.get(symbol, -1)
+            if len(symbol) == 1:
+                characters[ord(symbol)] = number
+        return Merges(
+            size, keys, ranks.astype(np.int32), results.astype(np.int32), characters, numbers,
+            [0, *map(len, symbols)],
+        )
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and symbol of the pieces that pairs make; -1 and 0 where they make none."""
+        wanted = left.astype(np.int64) * self.size + right
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        hit = (self.keys[at] == wanted) & (left > 0) & (right > 0)
+        return np.where(hit, self.ranks[at], -1), np.where(hit, self.results[at], 0)
+
+    def merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols each word ends with (a row, 0 behind its end) and their number.
+
+        A round joins the best neighbours, the leftmost first, in every word that has some; only
+        the pairs beside a join are looked up again.
+        """
+        counts = np.array([len(word) for word in words])
+        width = int(counts.max())
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.int32)
+        final = np.zeros((len(words), width + 1), dtype=np.int32)
+        final[np.arange(width + 1) < counts[:, None]] = self.characters[codes]
+        active, rows = np.arange(len(words)), final
+        ranks, results = self.look_up(rows[:, :-1], rows[:, 1:])
+        columns = np.arange(width)
+        while True:
+            best = ranks.argmax(axis=1)
+            going = np.flatnonzero(ranks[np.arange(len(rows)), best] >= 0)
+            if len(going) < len(rows):
+                done = np.ones(len(rows), dtype=bool)
+                done[going] = False
+                final[active[done]] = rows[done]
+                active, rows, ranks, results, best = (
+                    part[going] for part in (active, rows, ranks, results, best)
+                )
+            if not len(going):
+                return final, counts
+            counts[active] -= 1
+            everyone = np.arange(len(active))
+            joined = results[everyone, best]
+            # what stands behind the join moves up by one place, pairs with it
+            behind = columns > best[:, None]
+            moved = np.zeros_like(rows)
+            moved[:, :width] = np.where(behind, rows[:, 1:], rows[:, :-1])
+            moved[everyone, best] = joined
+            behind |= columns == best[:, None]
+            new_ranks, new_results = np.full_like(ranks, -1), np.zeros_like(results)
+            new_ranks[:, :-1] = np.where(behind[:, :-1], ranks[:, 1:], ranks[:, :-1])
+            new_results[:, :-1] = np.where(behind[:, :-1], results[:, 1:], results[:, :-1])
+            rows, ranks, results = moved, new_ranks, new_results
+            ranks[everyone, best], results[everyone, best] = self.look_up(
+                rows[everyone, best], rows[everyone, best + 1]
+            )
+            some = everyone[best > 0]
+            at = best[some] - 1
+            ranks[some, at], results[some, at] = self.look_up(rows[some, at], rows[some, at + 1])
+
+
 @dataclass(frozen=True)
 class PieceTable:
     """What encoding and decoding need of a model."""
@@ -56,12 +156,21 @@ class PieceTable:
     texts: list[str]
     byte_ids: list[int]
     longest: int
+    merges: Merges
 
     @staticmethod
     def load(path: str = MODEL_FILE) -> PieceTable:
-        from sentencepiece import SentencePieceProcessor  # the driver alone needs it
-
-        model = SentencePieceProcessor(model_file=path)
+        # the driver alone needs the library
+        from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
+
+        proto = sentencepiece_model_pb2.ModelProto()
+        with open(path, "rb") as file:
+            proto.ParseFromString(file.read())
+        normaliser = proto.normalizer_spec
+        as_it_is = not (normaliser.precompiled_charsmap or normaliser.remove_extra_whitespaces)
+        if proto.trainer_spec.model_type != 2 or not as_it_is or not normaliser.add_dummy_prefix:
+            raise ValueError("only BPE models without normaliser are supported")
+        model = SentencePieceProcessor(model_proto=proto.SerializeToString())
         scores, ids, texts, byte_ids = {}, {}, [], [0] * 256
         for number in range(model.get_piece_size()):
             piece = model.id_to_piece(number)
@@ -75,7 +184,8 @@ class PieceTable:
                 texts.append(piece)
         if any(SPACE in piece.lstrip(SPACE) for piece in scores):
             raise ValueError("pieces that hold a space after another character are not supported")
-        return PieceTable(scores, ids, texts, byte_ids, max(map(len, scores)))
+        longest = max(map(len, scores))
+        return PieceTable(scores, ids, texts, byte_ids, longest, Merges.of(scores, ids))
 
 
 def normalised(text: str) -> str:
@@ -108,7 +218,7 @@ class Codec:
     def __init__(self, table: PieceTable) -> None:
         self.table = table
         self._pairs: dict[tuple[str, str], bool] = {}
-        self._words: dict[str, array] = {}
+        self._words: dict[str, bytes] = {}
         self._bytes = {number: value for value, number in enumerate(table.byte_ids)}
 
     def fits(self, before: str, piece: str) -> bool:
@@ -186,30 +296,67 @@ class Codec:
             at -= len(last[at])
         return path[::-1]
 
-    def word(self, word: str) -> array:
-        found = self._words.get(word)
-        if found is None:
+    def learn(self, words: set[str]) -> None:
+        """Encode the words that are not known yet, the short ones side by side."""
+        new = words - self._words.keys()
+        if len(self._words) + len(new) > CACHED_WORDS:
+            # those of this batch are needed in a moment
+            self._words = {word: self._words[word] for word in words - new}
+        # words of like length together, so that rows have little room behind their end
+        short = sorted((word for word in new if len(word) <= LONGEST_MERGED), key=len)
+        if len(short) < WORDS_SIDE_BY_SIDE:
+            for word in short:
+                self._words[word] = self._numbers(merged(word, self.table.scores)).tobytes()
+        else:
+            for start in range(0, len(short), 4096):
+                self._learn_side_by_side(short[start : start + 4096])
+        for word in new:
             if len(word) > LONGEST_MERGED:
-                return self._numbers(self._pieces(word))
-            found = self._numbers(merged(word, self.table.scores))
-            if len(self._words) >= CACHED_WORDS:
-                self._words.clear()
-            self._words[word] = found
-        return found
+                self._words[word] = self._numbers(self._pieces(word)).tobytes()
+
+    def _learn_side_by_side(self, words: list[str]) -> None:
+        merges = self.table.merges
+        symbols, counts = merges.merged(words)
+        used = np.arange(symbols.shape[1]) < counts[:, None]
+        numbers = np.where(symbols > 0, merges.ids[np.maximum(symbols, 0)], -1)
+        in_bytes = (used & (numbers < 0)).any(axis=1)
+        ids = numbers[used].tobytes()
+        ends = (counts.cumsum() * 4).tolist()
+        for word, start, end in zip(words, [0, *ends], ends):
+            self._words[word] = ids[start:end]
+        for at in np.flatnonzero(in_bytes).tolist():
+            parts, place = [], 0
+            for symbol in symbols[at, : counts[at]].tolist():
+                length = merges.lengths[symbol] if symbol > 0 else 1
+                parts.append(words[at][place : place + length])
+                place += length
+            self._words[words[at]] = self._numbers(parts).tobytes()
+
+    def _joined(self, words: list[str]) -> array:
+        result = array("i")
+        result.frombytes(b"".join(map(self._words.__getitem__, words)))
+        return result
 
     def words(self, text: str) -> array:
         """Encoding of normalised text that starts and ends at word borders."""
-        result = array("i")
-        known, word_ids = self._words, self.word
-        for word in WORD.findall(text):
-            result.extend(known.get(word) or word_ids(word))
-        return result
+        words = WORD.findall(text)
+        self.learn(set(words))
+        return self._joined(words)
 
     def encode(self, text: str | None) -> array:
         return self.words(normalised(text)) if text else array("i")
 
+    def encode_all(self, texts: list[str | None]) -> list[array]:
+        """Encodings of several texts, whose new words are learnt together."""
+        split = [WORD.findall(normalised(text)) if text else [] for text in texts]
+        self.learn(set().union(*split))
+        return [self._joined(words) for words in split]
+
     def decode(self, numbers) -> str:
-        """Text of piece numbers; bytes that are no UTF-8 become replacement characters."""
+        """Text of piece numbers; bytes that are no UTF-8 become replacement characters.
+
+        So does a null or a number that the model does not have.
+        """
         texts, as_bytes = self.table.texts, self._bytes
         parts: list[str] = []
         raw = bytearray()
@@ -220,7 +367,8 @@ class Codec:
             if raw:
                 parts.append(raw.decode("utf-8", "replace"))
                 raw.clear()
-            parts.append(texts[number])
+            known = number is not None and 0 <= number < len(texts)
+            parts.append(texts[number] if known else "\ufffd")
         if raw:
             parts.append(raw.decode("utf-8", "replace"))
         return "".join(parts).replace(SPACE, " ").removeprefix(" ")
@@ -424,8 +572,7 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
         for whole in batches:
             for at in range(0, len(whole), ROWS_AT_ONCE):
                 batch = whole.iloc[at : at + ROWS_AT_ONCE]
-                ids = [codec.encode(text) for text in batch["text"]]
-                yield _result(codec, batch, ids)
+                yield _result(codec, batch, codec.encode_all(batch["text"].tolist()))
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec(table)
@@ -463,7 +610,10 @@ def _result(codec: Codec, batch: pd.DataFrame, ids: list[array]) -> pd.DataFrame
 
 
 def decode(tokens: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
-    """tokens with the text of token_ids; null for null, empty for no ids."""
+    """tokens with the text of token_ids; null for null, empty for no ids.
+
+    A null or unknown number among the ids gives a replacement character.
+    """
     table = PieceTable.load(model_file)
 
     @F.pandas_udf("string")

@@ -82,3 +82,37 @@ def test_decoding(spark):
 def test_space_symbol_is_the_one_text_that_does_not_come_back(spark):
     docs = spark.createDataFrame([(1, "a▁b")], "doc_id long, text string")
     assert piece_codec.encode(docs).first()["round_trip"] is False
+
+
+def test_words_side_by_side_and_one_by_one(library, table, monkeypatch):
+    texts = [*ODD, *random_texts(table, 300), "ő" * 30, "x漢y é🎉 " * 20]
+    together = [ids.tolist() for ids in Codec(table).encode_all([None, *texts])]
+    monkeypatch.setattr(piece_codec, "WORDS_SIDE_BY_SIDE", 1 << 60)
+    assert together == [ids.tolist() for ids in Codec(table).encode_all([None, *texts])]
+    assert together == [[], *library.encode(texts)]
+
+
+def test_a_full_cache_changes_nothing(library, table, monkeypatch):
+    monkeypatch.setattr(piece_codec, "CACHED_WORDS", 50)
+    codec = Codec(table)
+    texts = list(random_texts(table, 200))
+    found = [ids.tolist() for at in range(0, 200, 20) for ids in codec.encode_all(texts[at : at + 20])]
+    assert found == library.encode(texts)
+
+
+def test_unknown_numbers_are_replaced(table):
+    codec = Codec(table)
+    ids = codec.encode("one two").tolist()
+    assert codec.decode([*ids, None, 10**6, -1]) == "one two" + "\ufffd" * 3
+
+
+def test_other_models_are_refused(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(piece_codec.MODEL_FILE, "rb") as file:
+        proto.ParseFromString(file.read())
+    proto.trainer_spec.model_type = 1
+    (tmp_path / "other.model").write_bytes(proto.SerializeToString())
+    with pytest.raises(ValueError, match="BPE"):
+        PieceTable.load(str(tmp_path / "other.model"))
