@@ -50,6 +50,7 @@ except ModuleNotFoundError as error:  # the corpus operators are an optional par
 SAMPLE_ROWS = 500
 
 _built: dict[tuple[str, str, str], str] = {}
+_lakes: dict[str, Lake] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], None]) -> str:
@@ -69,7 +70,14 @@ def _bronze_lake(spark: SparkSession, sf_dir: str) -> Lake:
         rows = transactions_from_events(spark, sf_dir)
         Lake(spark, root).write(rows, "bronze_transactions", rebalance=True)
 
-    return Lake(spark, _once(spark, sf_dir, "lake", build))
+    return _opened(spark, _once(spark, sf_dir, "lake", build))
+
+
+def _opened(spark: SparkSession, root: str) -> Lake:
+    """The lake at a root; its newest commit is looked up once."""
+    if root not in _lakes:
+        _lakes[root] = Lake(spark, root)
+    return _lakes[root]
 
 
 def _lake(spark: SparkSession, sf_dir: str) -> Lake:
@@ -77,9 +85,9 @@ def _lake(spark: SparkSession, sf_dir: str) -> Lake:
     lake = _bronze_lake(spark, sf_dir)
 
     def build(_: str) -> None:
-        scored = scored_bronze(spark, lake.root)
-        run_quality(spark, lake.root, scored)
-        run_transform(spark, lake.root, scored)
+        scored = scored_bronze(spark, lake)
+        run_quality(spark, lake, scored)
+        run_transform(spark, lake, scored)
 
     _once(spark, sf_dir, "lake-tables", build)
     return lake
@@ -95,10 +103,8 @@ def _raw_csv(spark: SparkSession, sf_dir: str) -> str:
 def _csv_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """A lake filled from CSV files by the whole pipeline, with its run history."""
     raw = _raw_csv(spark, sf_dir)
-    return Lake(
-        spark,
-        _once(spark, sf_dir, "csv-lake", lambda root: run_pipeline(spark, root, raw_file=raw)),
-    )
+    root = _once(spark, sf_dir, "csv-lake", lambda root: run_pipeline(spark, root, raw_file=raw))
+    return _opened(spark, root)
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Append-only history of runs and quality results, kept as Parquet below the lake root."""
+"""Append-only history of runs and quality results, kept as Parquet below the lake root.
+
+Events of a run are numbered, so their order does not hang on clocks. Each event is a small file;
+compact puts all of them into one. An event that is found twice, as after a compaction that
+did not get to its end, counts once.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.sources.lake import is_absent
+from ledgerlens.sources.lake import is_absent, remove_path
 
 RUN_COUNTS = ("bronze_rows", "quarantine_rows", "silver_rows", "gold_daily_rows")
 SHOWN_RUNS = 10
@@ -20,7 +25,7 @@ SHOWN_RUNS = 10
 _EVENT_SCHEMA = (
     "run_id string, event string, event_at timestamp, status string, raw_file string, "
     "sample_rows bigint, bronze_rows bigint, quarantine_rows bigint, silver_rows bigint, "
-    "gold_daily_rows bigint, notes string"
+    "gold_daily_rows bigint, notes string, number int, event_id string"
 )
 # Reading with the full schema gives NULL for columns that older files lack.
 _RESULT_SCHEMA = (
@@ -50,7 +55,8 @@ class History:
             return self.spark.createDataFrame([], schema)
 
     def _append_event(self, **values: Any) -> None:
-        row = self.spark.createDataFrame([{"event_at": _now(), **values}], _EVENT_SCHEMA)
+        values = {"event_at": _now(), "event_id": str(uuid.uuid4()), **values}
+        row = self.spark.createDataFrame([values], _EVENT_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self.events_path)
 
     @contextmanager
@@ -62,7 +68,7 @@ class History:
         counts: dict[str, Any] = {"run_id": str(uuid.uuid4()), "raw_file": raw_file}
         run = {"run_id": counts["run_id"]}
         self._append_event(
-            **run, event="start", status="RUNNING", raw_file=raw_file, sample_rows=sample_rows
+            **run, number=0, event="start", status="RUNNING", raw_file=raw_file, sample_rows=sample_rows
         )
         status, notes = "FAILED", None
         try:
@@ -73,21 +79,44 @@ class History:
             raise
         finally:
             known = {name: counts.get(name) for name in RUN_COUNTS}
-            self._append_event(**run, event="finish", status=status, notes=notes, **known)
+            self._append_event(
+                **run, number=1, event="finish", status=status, notes=notes, **known
+            )
+
+    def events(self) -> DataFrame:
+        """All events once; older ones without a number or id get them from what they hold."""
+        found = self._read(self.events_path, _EVENT_SCHEMA)
+        content = F.sha2(F.to_json(F.struct(*[name for name in found.columns if name != "event_id"])), 256)
+        return found.withColumns(
+            {
+                "event_id": F.coalesce("event_id", content),
+                "number": F.coalesce("number", F.when(F.col("event") == "start", 0).otherwise(1)),
+            }
+        ).dropDuplicates(["event_id"])
+
+    def compact(self) -> None:
+        """Put all events into one file; events appended meanwhile are kept."""
+        before = self._read(self.events_path, _EVENT_SCHEMA).inputFiles()
+        if len(before) < 2:
+            return
+        # the files read are fixed here; they go once their events are in the new one
+        self.events().coalesce(1).write.mode("append").parquet(self.events_path)
+        for path in before:
+            remove_path(self.spark, path)
 
     def runs(self) -> DataFrame:
         """One row per run: its start joined with its latest finish, if any."""
         started, finished = F.col("event") == "start", F.col("event") == "finish"
+        order = F.struct("number", "event_at", "event_id")
         finish = F.max_by(
             F.when(finished, F.struct("event_at", "status", *RUN_COUNTS, "notes")),
-            F.when(finished, F.col("event_at")),
+            F.when(finished, order),
         )
         start = F.min_by(
-            F.struct("event_at", "status", "raw_file", "sample_rows"),
-            F.when(started, F.col("event_at")),
+            F.struct("event_at", "status", "raw_file", "sample_rows"), F.when(started, order)
         )
         return (
-            self._read(self.events_path, _EVENT_SCHEMA)
+            self.events()
             .groupBy("run_id")
             .agg(start.alias("start"), finish.alias("finish"))
             .select(
@@ -131,7 +160,7 @@ class History:
         results = self.quality_results()
         newest = (
             results.filter("quality_run_id IS NOT NULL")
-            .agg(F.max_by("quality_run_id", "checked_at"))
+            .agg(F.max_by("quality_run_id", F.struct("checked_at", "quality_run_id")))
             .scalar()
         )
         return (

@@ -35,9 +35,14 @@ from ledgerlens.sources.raw_csv import (
 from ledgerlens.sources.scratch import Scratch
 
 
+def _opened(spark: SparkSession, root: str | Lake) -> Lake:
+    """The lake at a root, or the one a run already works on."""
+    return root if isinstance(root, Lake) else Lake(spark, root)
+
+
 def run_ingest(
     spark: SparkSession,
-    root: str,
+    root: str | Lake,
     raw_file: str | None = None,
     sample_rows: int | None = None,
     schema: StructType | None = None,
@@ -48,7 +53,7 @@ def run_ingest(
     FAILFAST and PERMISSIVE are modes of read_raw. KEEP reads quoted line breaks and keeps cells
     that do not fit as text, for the quality checks to find.
     """
-    lake = Lake(spark, root)
+    lake = _opened(spark, root)
     source = find_raw_file(spark, lake.root, raw_file)
     scratch = Scratch(spark, "ingest")
     with fixed_splits(spark):
@@ -66,21 +71,21 @@ def run_ingest(
     return {"raw_file": source, "bronze_rows": lake.count("bronze_transactions")}
 
 
-def scored_bronze(spark: SparkSession, root: str) -> DataFrame:
+def scored_bronze(spark: SparkSession, root: str | Lake) -> DataFrame:
     """Scored rows of bronze; all but repeated rows keep bronze's day-by-day layout."""
-    bronze = Lake(spark, root).table("bronze_transactions")
+    bronze = _opened(spark, root).table("bronze_transactions")
     return score_quality(bronze, Scratch(spark, "quality"), layout="step_day")
 
 
 def run_quality(
-    spark: SparkSession, root: str, scored: DataFrame | None = None
+    spark: SparkSession, root: str | Lake, scored: DataFrame | None = None
 ) -> dict[str, int]:
     """Bronze to quarantine, and one quality result per check.
 
     Every failed row is in quarantine and the total comes from the Parquet footers, so
     counting the checks does not read bronze again.
     """
-    lake = Lake(spark, root)
+    lake = _opened(spark, root)
     scored = scored or scored_bronze(spark, root)
     bad = lake.write(quarantine(scored), "quarantine_bad_transactions")
     total_rows = lake.count("bronze_transactions")
@@ -89,40 +94,42 @@ def run_quality(
 
 
 def run_transform(
-    spark: SparkSession, root: str, scored: DataFrame | None = None
+    spark: SparkSession, root: str | Lake, scored: DataFrame | None = None
 ) -> dict[str, int]:
     """Bronze to silver and gold.
 
     Silver keeps the day-by-day layout of bronze, so it is written without a shuffle. Day,
-    hour and type tables come from one scan of silver, both account tables from another.
+    hour and type tables come from one scan of silver, both account tables from another. All
+    tables change together when the last one is written.
     """
-    lake = Lake(spark, root)
+    lake = _opened(spark, root)
     scratch = Scratch(spark, "transform")
-    scored = scored or scored_bronze(spark, root)
-    silver = lake.write(silver_transactions(scored), "silver_transactions")
-
-    slices = lake.write(amount_slices(silver), "amount_slices")
-    money = Money.of_slices(slices, "amount")
-    metrics = scratch.table(account_metrics(account_events(silver), money), "account-metrics")
-    totals = scratch.table(activity(silver, money), "activity")
-    lake.write(silver_accounts(metrics), "silver_accounts")
-    lake.write(silver_transaction_types(totals), "silver_transaction_types")
-    lake.write(fraud_summary_daily(totals), "gold_fraud_summary_daily")
-    lake.write(fraud_by_transaction_type(totals), "gold_fraud_by_transaction_type")
-    lake.write(high_risk_accounts(metrics), "gold_high_risk_accounts")
-    lake.write(hourly_fraud_trend(totals), "gold_hourly_fraud_trend")
-    lake.write(large_transaction_alerts(silver), "gold_large_transaction_alerts")
-    lake.write(account_sketches(silver), "account_sketches")
+    scored = scored or scored_bronze(spark, lake)
+    with lake.transaction():
+        silver = lake.write(silver_transactions(scored), "silver_transactions")
+        slices = lake.write(amount_slices(silver), "amount_slices")
+        money = Money.of_slices(slices, "amount")
+        metrics = scratch.table(account_metrics(account_events(silver), money), "account-metrics")
+        totals = scratch.table(activity(silver, money), "activity")
+        lake.write(silver_accounts(metrics), "silver_accounts")
+        lake.write(silver_transaction_types(totals), "silver_transaction_types")
+        lake.write(fraud_summary_daily(totals), "gold_fraud_summary_daily")
+        lake.write(fraud_by_transaction_type(totals), "gold_fraud_by_transaction_type")
+        lake.write(high_risk_accounts(metrics), "gold_high_risk_accounts")
+        lake.write(hourly_fraud_trend(totals), "gold_hourly_fraud_trend")
+        lake.write(large_transaction_alerts(silver), "gold_large_transaction_alerts")
+        lake.write(account_sketches(silver), "account_sketches")
+        counts = {
+            "silver_rows": lake.count("silver_transactions"),
+            "gold_daily_rows": lake.count("gold_fraud_summary_daily"),
+        }
     lake.register_views()
-    return {
-        "silver_rows": lake.count("silver_transactions"),
-        "gold_daily_rows": lake.count("gold_fraud_summary_daily"),
-    }
+    return counts
 
 
 def run_pipeline(
     spark: SparkSession,
-    root: str,
+    root: str | Lake,
     raw_file: str | None = None,
     sample_rows: int | None = None,
     schema: StructType | None = None,
@@ -132,12 +139,14 @@ def run_pipeline(
 
     Quality and transform share one search for duplicates, which each does itself when run
     alone.
-    A missing raw file is noticed before the run is recorded and leaves no trace.
+    A missing raw file is noticed before the run is recorded and leaves no trace. The tables of
+    the run appear together at its end; a failed run leaves the lake as it was.
     """
-    source = find_raw_file(spark, root.rstrip("/"), raw_file)
-    with History(spark, root).recorded(source, sample_rows) as counts:
-        counts |= run_ingest(spark, root, source, sample_rows, schema, mode)
-        scored = scored_bronze(spark, root)
+    lake = _opened(spark, root)
+    source = find_raw_file(spark, lake.root, raw_file)
+    with History(spark, lake.root).recorded(source, sample_rows) as counts, lake.transaction():
+        counts |= run_ingest(spark, lake, source, sample_rows, schema, mode)
+        scored = scored_bronze(spark, lake)
         for stage in (run_quality, run_transform):
-            counts |= stage(spark, root, scored)
+            counts |= stage(spark, lake, scored)
     return counts
