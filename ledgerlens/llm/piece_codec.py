@@ -113,32 +113,36 @@ class Merges:
         final[np.arange(width + 1) < counts[:, None]] = self.characters[codes]
         active, rows = np.arange(len(words)), final
         ranks, results = self.look_up(rows[:, :-1], rows[:, 1:])
-        columns = np.arange(width)
         while True:
             best = ranks.argmax(axis=1)
             going = np.flatnonzero(ranks[np.arange(len(rows)), best] >= 0)
             if len(going) < len(rows):
                 done = np.ones(len(rows), dtype=bool)
                 done[going] = False
-                final[active[done]] = rows[done]
+                final[active[done], : rows.shape[1]] = rows[done]
+                final[active[done], rows.shape[1] :] = 0
                 active, rows, ranks, results, best = (
                     part[going] for part in (active, rows, ranks, results, best)
                 )
             if not len(going):
                 return final, counts
             counts[active] -= 1
-            everyone = np.arange(len(active))
+            # no word reaches farther after its join; a row keeps one place behind its end
+            width = int(counts[active].max())
+            everyone, columns = np.arange(len(active)), np.arange(width)
             joined = results[everyone, best]
             # what stands behind the join moves up by one place, pairs with it
             behind = columns > best[:, None]
-            moved = np.zeros_like(rows)
-            moved[:, :width] = np.where(behind, rows[:, 1:], rows[:, :-1])
+            moved = np.zeros((len(active), width + 1), dtype=np.int32)
+            moved[:, :width] = np.where(behind, rows[:, 1 : width + 1], rows[:, :width])
             moved[everyone, best] = joined
             behind |= columns == best[:, None]
-            new_ranks, new_results = np.full_like(ranks, -1), np.zeros_like(results)
-            new_ranks[:, :-1] = np.where(behind[:, :-1], ranks[:, 1:], ranks[:, :-1])
-            new_results[:, :-1] = np.where(behind[:, :-1], results[:, 1:], results[:, :-1])
-            rows, ranks, results = moved, new_ranks, new_results
+            after = np.minimum(columns + 1, ranks.shape[1] - 1)
+            ranks = np.where(behind, ranks[:, after], ranks[:, :width])
+            results = np.where(behind, results[:, after], results[:, :width])
+            # a row's last pair reaches behind its end
+            ranks[everyone, counts[active] - 1] = -1
+            rows = moved
             ranks[everyone, best], results[everyone, best] = self.look_up(
                 rows[everyone, best], rows[everyone, best + 1]
             )
@@ -220,6 +224,12 @@ class Codec:
         self._pairs: dict[tuple[str, str], bool] = {}
         self._words: dict[str, bytes] = {}
         self._bytes = {number: value for value, number in enumerate(table.byte_ids)}
+        # bytes below 128 are characters by themselves, the others only together
+        self._texts = list(table.texts)
+        for value in range(128):
+            self._texts[table.byte_ids[value]] = chr(value)
+        self._is_part = np.zeros(len(table.texts), dtype=bool)
+        self._is_part[table.byte_ids[128:]] = True
 
     def fits(self, before: str, piece: str) -> bool:
         """Whether the pair weighs 0; before is empty at the start of a text or word."""
@@ -358,6 +368,10 @@ class Codec:
         So does a null or a number that the model does not have.
         """
         texts, as_bytes = self.table.texts, self._bytes
+        if isinstance(numbers, array) and not self._is_part[np.frombuffer(numbers, np.int32)].any():
+            # numbers of this encoder, without parts of characters
+            whole = "".join(map(self._texts.__getitem__, numbers))
+            return whole.replace(SPACE, " ").removeprefix(" ")
         parts: list[str] = []
         raw = bytearray()
         for number in numbers:

@@ -116,3 +116,9 @@ def test_other_models_are_refused(tmp_path):
     (tmp_path / "other.model").write_bytes(proto.SerializeToString())
     with pytest.raises(ValueError, match="BPE"):
         PieceTable.load(str(tmp_path / "other.model"))
+
+
+def test_decoding_of_arrays_and_lists(table):
+    codec = Codec(table)
+    for text, ids in zip(texts := [*ODD, "\x7f\n\t", *random_texts(table, 100)], codec.encode_all(texts), strict=True):
+        assert codec.decode(ids) == codec.decode(ids.tolist()) == text
