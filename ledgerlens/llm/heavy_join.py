@@ -20,13 +20,15 @@ def attach(
     weight: str,
     most_heavy: int = MOST_HEAVY,
     least_rows: int = LEAST_ROWS,
+    how: str = "inner",
+    hint: str | None = None,
 ) -> DataFrame:
-    """rows joined (inner) with table, whose weight column counts the rows of each key.
+    """rows joined (inner or left) with table, whose weight column counts the rows of each key.
 
     keys maps columns of rows to the equal columns of table, where null equals null; names must
     not clash otherwise. A key with more than a most_heavy-th of all rows is heavy: there are fewer
     than most_heavy of those, so they are broadcast; all others are light enough to be shuffled.
-    Runs a job on table when called; both frames should be written tables, as they are read twice.
+    hint names the join of the light keys. Runs a job on table when called; both frames should be written tables, as they are read twice.
     """
     total = table.agg(F.sum(weight)).first()[0] or 0
     border = max(least_rows, total // most_heavy)
@@ -37,5 +39,7 @@ def attach(
     names = [name for name in (*rows.columns, *table.columns) if name != weight]
     few = F.broadcast(heavy)
     of_heavy = rows.join(few, equal).select(*names)
-    of_light = rows.join(few, equal, "left_anti").join(light, equal).select(*names)
+    if hint:
+        light = light.hint(hint)
+    of_light = rows.join(few, equal, "left_anti").join(light, equal, how).select(*names)
     return of_heavy.unionByName(of_light)

@@ -13,14 +13,18 @@ stays is unchanged, and the removed spans carry their offsets in the original te
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.heavy_join import attach
 from ledgerlens.sources.scratch import Scratch
 
 #: Units of fewer words are not hashed; they go with the repeated units around them.
@@ -32,11 +36,11 @@ UNIT = re.compile(r"\S(?:[^\n]*?[.!?…。！？]+(?=\s|\Z)|[^\n]*)")
 #: Words of a mark; of the marks that fit into LEAST_WORDS words the one of lowest hash is taken.
 MARK_WORDS = 10
 MARKS = LEAST_WORDS - MARK_WORDS + 1
-WORD_CACHE = 300_000
 
 #: Scripts written without spaces between words: every character counts as a word.
 UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
-WORD = re.compile(f"[{UNSPACED}]|[^\\s{UNSPACED}]+")
+#: Odd, so that its powers have inverses modulo 2**64.
+BASE = 0x9E3779B97F4A7C15
 
 UNITS = "doc_id long, mark long, number int, start int, end int, words int, high long, low long"
 MARK_ROWS = "doc_id long, mark long, start int, end int, value long"
@@ -95,32 +99,91 @@ def stretches(units: list[tuple[int, int, int, int]], total: list[int] | None =
     return spans
 
 
-class _WordHashes(dict):
-    """64-bit hashes of words, kept while they are few."""
+SPACE_KIND, SINGLE_KIND = 1, 2
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+
+@cache
+def _kinds() -> np.ndarray:
+    """Kind of every character: white space, a word of its own, or 0 for a part of a word."""
+    kinds = np.zeros(sys.maxunicode + 1, dtype=np.uint8)
+    kinds[[code for code in range(0x3001) if chr(code).isspace()]] = SPACE_KIND
+    for at in range(0, len(UNSPACED), 3):
+        kinds[ord(UNSPACED[at]) : ord(UNSPACED[at + 2]) + 1] = SINGLE_KIND
+    return kinds
+
+
+@cache
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of BASE modulo 2**64 and of its inverse."""
+
+    def first(factor: int) -> np.ndarray:
+        factors = np.full(size, factor, dtype=np.uint64)
+        factors[0] = 1
+        return np.cumprod(factors)
+
+    return first(BASE), first(pow(BASE, -1, 1 << 64))
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words: runs without white space, and every unspaced character."""
+    kinds = _kinds()[_codes(text)]
+    in_word, single = kinds != SPACE_KIND, kinds == SINGLE_KIND
+    # whether a word begins or ends between a character and the next one
+    border = ~(in_word[:-1] & in_word[1:]) | single[:-1] | single[1:]
+    edge = np.ones(min(len(kinds), 1), dtype=bool)
+    starts = np.flatnonzero(in_word & np.concatenate([edge, border]))
+    ends = np.flatnonzero(in_word & np.concatenate([border, edge])) + 1
+    return starts.astype(np.int32), ends.astype(np.int32)
 
 
 def words_of(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Words in lower case, their starts and their ends."""
-    found = [(m.start(), m.end()) for m in WORD.finditer(text)]
-    places = np.array(found, dtype=np.int32).reshape(-1, 2)
-    return [text[a:b].lower() for a, b in found], places[:, 0], places[:, 1]
+    starts, ends = word_places(text)
+    lower = text.lower()
+    pairs = zip(starts.tolist(), ends.tolist(), strict=True)
+    if len(lower) == len(text):
+        return [lower[a:b] for a, b in pairs], starts, ends
+    return [text[a:b].lower() for a, b in pairs], starts, ends
+
 
+def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the words in lower case, their starts and their ends.
 
-def marked_words(words: list[str], hashes: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """First words and hashes of the marks: every LEAST_WORDS words in a row hold one, the same wherever they stand."""
-    if len(words) < LEAST_WORDS:
+    A word's hash is its part of a running sum of characters times powers of BASE, moved to the
+    sum's beginning, so all words of a text are hashed at once.
+    """
+    starts, ends = word_places(text)
+    lower, first, last = text.lower(), starts, ends
+    if len(lower) != len(text):
+        # some characters become two; words are put together anew
+        words = [text[a:b].lower() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        lower = "".join(words)
+        last = np.cumsum([len(word) for word in words], dtype=np.int64)
+        first = last - [len(word) for word in words]
+    size = 1 << max(16, len(lower).bit_length())
+    powers, inverses = _powers(size)
+    sums = np.zeros(len(lower) + 1, dtype=np.uint64)
+    np.cumsum((_codes(lower).astype(np.uint64) + np.uint64(1)) * powers[: len(lower)], out=sums[1:])
+    values = (sums[last] - sums[first]) * inverses[first]
+    values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return values ^ (values >> np.uint64(29)), starts, ends
+
+
+def marked_words(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words and hashes of the marks, from the hashes of a text's words.
+
+    Every LEAST_WORDS words in a row hold one, the same wherever they stand.
+    """
+    if len(values) < LEAST_WORDS:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = len(words) - MARK_WORDS + 1
+    n = len(values) - MARK_WORDS + 1
     mixed = np.zeros(n, np.uint64)
     for i in range(MARK_WORDS):
-        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + values[i : i + n]
+        mixed = mixed * np.uint64(BASE) + values[i : i + n]
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     mixed ^= mixed >> np.uint64(32)
     lowest = np.lib.stride_tricks.sliding_window_view(mixed, MARKS).argmin(axis=1)
@@ -131,18 +194,35 @@ def marked_words(words: list[str], hashes: dict[str, int]) -> tuple[np.ndarray,
 def _marks(docs: DataFrame) -> DataFrame:
     """Marks of every text with their offsets."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = _WordHashes()
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, mark, text in zip(batch["doc_id"], batch["mark"], batch["text"], strict=True):
-                words, starts, ends = words_of(text)
-                at, values = marked_words(words, hashes)
+            for row in range(batch.num_rows):
+                values, starts, ends = word_hashes(batch["text"][row].as_py())
+                at, marks = marked_words(values)
                 if len(at):
-                    frame = pd.DataFrame({"start": starts[at], "end": ends[at + MARK_WORDS - 1], "value": values})
-                    doc_id = None if pd.isna(doc_id) else int(doc_id)
-                    yield frame.assign(doc_id=pd.Series([doc_id] * len(at), dtype="Int64"), mark=mark)
+                    same = [batch[name].slice(row, 1).take(pa.array(np.zeros(len(at), np.int32))) for name in ("doc_id", "mark")]
+                    places = [pa.array(starts[at]), pa.array(ends[at + MARK_WORDS - 1])]
+                    yield pa.RecordBatch.from_arrays([*same, *places, pa.array(marks)], names=names)
+
+    names = ["doc_id", "mark", "start", "end", "value"]
+    return docs.mapInArrow(_gathered(cut), MARK_ROWS)
+
 
-    return docs.mapInPandas(_joined(cut), MARK_ROWS)
+def _gathered(cut):
+    """cut with its small batches put together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in cut(batches):
+            held.append(batch)
+            rows += batch.num_rows
+            if rows > 100_000:
+                yield pa.concat_batches(held)
+                held, rows = [], 0
+        if held:
+            yield pa.concat_batches(held)
+
+    return run
 
 
 def _joined(cut):
@@ -253,12 +333,15 @@ def _first_of_repeated(rows: DataFrame) -> DataFrame:
     place = _place()
     return (
         rows.groupBy("high", "low")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        .agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n"))
         .filter("first != last")
-        .select("high", "low", "first")
+        .select(F.col("high").alias("_high"), F.col("low").alias("_low"), "first", "n")
     )
 
 
+DIGEST = {"high": "_high", "low": "_low"}
+
+
 def _word_spans(texts: DataFrame, units: DataFrame, first: DataFrame, removed: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, mark and spans of repeated words outside of the removed spans.
 
@@ -268,8 +351,9 @@ def _word_spans(texts: DataFrame, units: DataFrame, first: DataFrame, removed: D
     """
 
     def repeated(marks: DataFrame) -> DataFrame:
-        values = marks.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
-        return marks.join(values.hint("merge"), "value", "left_semi")
+        values = marks.groupBy(F.col("value").alias("_value")).agg(F.count(F.lit(1)).alias("n"))
+        often = scratch.table(values.filter("n > 1"), "values")
+        return attach(marks, often, {"value": "_value"}, "n", hint="merge").drop("_value")
 
     inside = "NOT exists(coalesce(spans, array()), s -> s.start < end AND start < s.end)"
     left = (
@@ -287,7 +371,7 @@ def _word_spans(texts: DataFrame, units: DataFrame, first: DataFrame, removed: D
     span = F.struct("start", "end")
     later = ~_place().eqNullSafe(F.col("first"))
     per_text = (
-        windows.join(_first_of_repeated(windows), ["high", "low"])
+        attach(windows, scratch.table(_first_of_repeated(windows), "first_windows"), DIGEST, "n", hint="merge")
         .select("doc_id", "mark", span.alias("span"), later.alias("later"))
         .groupBy("doc_id", "mark")
         .agg(
@@ -311,13 +395,14 @@ def _word_spans(texts: DataFrame, units: DataFrame, first: DataFrame, removed: D
 
     found = per_text.select("doc_id", "mark", spans("later", "kept").alias("spans"))
     found = scratch.table(found.filter(F.size("spans") > 0), "covered")
-    whole = (
+    whole = scratch.table(
         units.join(_keyed(found).hint("merge"), F.expr(SAME_TEXT))
         .filter("exists(spans, s -> s.start <= start AND end <= s.end)")
-        .select("doc_id", "mark", "start", "end", "high", "low")
+        .select("doc_id", "mark", "start", "end", "high", "low"),
+        "whole",
     )
     own = (
-        whole.join(first, ["high", "low"], "left")
+        attach(whole, first, DIGEST, "n", how="left", hint="merge")
         .filter(F.col("first").isNull() | _place().eqNullSafe(F.col("first")))
         .groupBy("doc_id", "mark")
         .agg(F.collect_set(span).alias("own"))
@@ -330,7 +415,7 @@ def _word_spans(texts: DataFrame, units: DataFrame, first: DataFrame, removed: D
 
 def _sentence_spans(units: DataFrame, first: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, mark and spans of repeated whole sentences."""
-    judged = units.join(first, ["high", "low"], "left").select(
+    judged = attach(units, first, DIGEST, "n", how="left", hint="merge").select(
         "doc_id", "mark", "number", "start", "end", "words",
         (F.col("first").isNotNull() & ~_place().eqNullSafe(F.col("first"))).alias("later"),
     )

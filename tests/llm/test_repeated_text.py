@@ -1,3 +1,6 @@
+import random
+import re
+
 from ledgerlens.llm import repeated_text
 
 SCHEMA = "doc_id long, text string, mark string, spans int"
@@ -99,3 +102,20 @@ def test_copies_of_short_sentences_and_unspaced_texts(spark):
 def test_uncovered():
     assert repeated_text.uncovered([(0, 10), (5, 20), (30, 40)], [(8, 12), (30, 40)]) == [(0, 8), (12, 20)]
     assert repeated_text.uncovered([], [(1, 2)]) == []
+
+
+def test_words_and_their_hashes():
+    pattern = re.compile(f"[{repeated_text.UNSPACED}]|[^\\s{repeated_text.UNSPACED}]+")
+    rng = random.Random(5)
+    pool = "aB cÉİΣΑΣ \n\t 　漢字カナ.x-7\U00020001ก 🎉\u001c"
+    texts = ["", " ", "a", "漢", *("".join(rng.choices(pool, k=rng.randint(1, 80))) for _ in range(400))]
+    hashes = {}
+    for text in texts:
+        words, starts, ends = repeated_text.words_of(text)
+        places = [(m.start(), m.end()) for m in pattern.finditer(text)]
+        assert list(zip(starts.tolist(), ends.tolist())) == places
+        assert [word for word in words] == [text[a:b].lower() for a, b in places]
+        values, *_ = repeated_text.word_hashes(text)
+        for word, value in zip(words, values.tolist(), strict=True):
+            assert hashes.setdefault(word, value) == value
+    assert len(set(hashes.values())) == len(hashes)
