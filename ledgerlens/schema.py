@@ -23,7 +23,7 @@ RAW_COLUMNS = (
     "isFlaggedFraud",
 )
 
-# check name -> issue text, in the order the issues are listed in a row
+# Check name -> issue text, in the order the issues are listed in a row
 QUALITY_CHECKS = {
     "amount_positive": "amount_not_positive",
     "valid_transaction_type": "invalid_transaction_type",
@@ -61,6 +61,7 @@ class TableSpec:
     partition_by: str | None = None
 
 
+# Names and places of the tables.
 TABLES = {
     "bronze_transactions": TableSpec("bronze/bronze_transactions", "step_day"),
     "quarantine_bad_transactions": TableSpec("quarantine/quarantine_bad_transactions"),
