@@ -22,6 +22,7 @@ import sys
 from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,8 @@ ROWS_AT_ONCE = 256
 LONGEST_MERGED = 48
 #: From so many new words on they are merged side by side.
 WORDS_SIDE_BY_SIDE = 32
+#: Slots of a table of pairs, as a power of two.
+TABLE_BITS = 19
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 WORD_START = re.compile(f"(?<=[^{SPACE}]){SPACE}")
 
@@ -50,6 +53,10 @@ State = tuple[int, str]
 Matrix = dict[State, set[State]]
 
 
+def _slot(keys: np.ndarray, factor: np.uint64) -> np.ndarray:
+    return (keys.astype(np.uint64) * factor >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+
 @dataclass(frozen=True)
 class Merges:
     """The model's merging rule on numbered symbols: pieces, and the characters in them.
@@ -93,12 +100,35 @@ class Merges:
             [0, *map(len, symbols)],
         )
 
+    @cached_property
+    def _slots(self) -> list[tuple[np.uint64, np.ndarray]]:
+        """Places of the pairs in tables of TABLE_BITS, each for the pairs the one before has no room for."""
+        left, tables = np.arange(len(self.keys)), []
+        factor = 0x9E3779B97F4A7C15
+        while len(left):
+            at = _slot(self.keys[left], np.uint64(factor))
+            _, first = np.unique(at, return_index=True)
+            table = np.full(1 << TABLE_BITS, -1, dtype=np.int32)
+            table[at[first]] = left[first]
+            tables.append((np.uint64(factor), table))
+            left = np.delete(left, first)
+            factor = factor * 0xD6E8FEB86659FD93 % (1 << 64) | 1
+        return tables
+
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and symbol of the pieces that pairs make; -1 and 0 where they make none."""
-        wanted = left.astype(np.int64) * self.size + right
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        hit = (self.keys[at] == wanted) & (left > 0) & (right > 0)
-        return np.where(hit, self.ranks[at], -1), np.where(hit, self.results[at], 0)
+        ranks, results = np.full(left.shape, -1, dtype=np.int32), np.zeros(left.shape, dtype=np.int32)
+        open_ = np.flatnonzero((left > 0) & (right > 0))
+        wanted = left.ravel()[open_].astype(np.int64) * self.size + right.ravel()[open_]
+        for factor, table in self._slots:
+            at = table[_slot(wanted, factor)]
+            hit = self.keys[at] == wanted
+            found, place = at[hit], open_[hit]
+            ranks.ravel()[place], results.ravel()[place] = self.ranks[found], self.results[found]
+            # an empty slot here means that no later table has the pair either
+            more = ~hit & (at >= 0)
+            wanted, open_ = wanted[more], open_[more]
+        return ranks, results
 
     def merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols each word ends with (a row, 0 behind its end) and their number.
@@ -425,10 +455,17 @@ class Codec:
 
     def _word_borders(self, text: str, start: int, end: int, first: bool) -> tuple[int | None, int]:
         """First and last word start in the chunk, or None where it has none."""
-        borders = [m.start() for m in WORD_START.finditer(text, start, end)]
+        found = WORD_START.search(text, start, end)
+        head = found.start() if found else None
+        tail = end
+        if found:
+            # the last start: a space whose character before is none
+            tail = text.rindex(SPACE, start, end)
+            while text[tail - 1] == SPACE:
+                tail -= 1
         if first:
-            borders = [start, *borders]
-        return (borders[0], borders[-1]) if borders else (None, end)
+            head, tail = start, tail if found else start
+        return head, tail
 
     def trace(self, text: str, start: int, end: int, first: bool, entry: State, exit_: State) -> array:
         """Numbers of the pieces after the entry's up to and with the exit's."""
