@@ -28,7 +28,8 @@ def attach(
     keys maps columns of rows to the equal columns of table, where null equals null; names must
     not clash otherwise. A key with more than a most_heavy-th of all rows is heavy: there are fewer
     than most_heavy of those, so they are broadcast; all others are light enough to be shuffled.
-    hint names the join of the light keys. Runs a job on table when called; both frames should be written tables, as they are read twice.
+    hint names the join of the light keys. Runs jobs on table when called; both frames should be
+    written tables, as they are read twice where there are heavy keys.
     """
     total = table.agg(F.sum(weight)).first()[0] or 0
     border = max(least_rows, total // most_heavy)
@@ -37,9 +38,11 @@ def attach(
         lambda a, b: a & b, [F.col(left).eqNullSafe(F.col(right)) for left, right in keys.items()]
     )
     names = [name for name in (*rows.columns, *table.columns) if name != weight]
-    few = F.broadcast(heavy)
-    of_heavy = rows.join(few, equal).select(*names)
     if hint:
         light = light.hint(hint)
+    if heavy.isEmpty():
+        return rows.join(light, equal, how).select(*names)
+    few = F.broadcast(heavy)
+    of_heavy = rows.join(few, equal).select(*names)
     of_light = rows.join(few, equal, "left_anti").join(light, equal, how).select(*names)
     return of_heavy.unionByName(of_light)

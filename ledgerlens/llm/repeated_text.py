@@ -49,7 +49,11 @@ WINDOWS = "doc_id long, mark long, start int, end int, high long, low long"
 
 def units_of(text: str) -> list[tuple[int, int, list[str]]]:
     """(start, end, words in lower case) of the sentences of each line, in order."""
-    return [(m.start(), m.end(), m[0].lower().split()) for m in UNIT.finditer(text)]
+    lower = text.lower()
+    if len(lower) != len(text):
+        return [(m.start(), m.end(), m[0].lower().split()) for m in UNIT.finditer(text)]
+    # the characters that end a unit are the same in lower case
+    return [(a, b, lower[a:b].split()) for a, b in map(re.Match.span, UNIT.finditer(text))]
 
 
 def _units(docs: DataFrame) -> DataFrame:
@@ -186,11 +190,27 @@ def marked_words(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         mixed = mixed * np.uint64(BASE) + values[i : i + n]
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     mixed ^= mixed >> np.uint64(32)
-    lowest = np.lib.stride_tricks.sliding_window_view(mixed, MARKS).argmin(axis=1)
-    at = np.unique(lowest + np.arange(len(lowest)))
+    at = lowest_places(mixed, MARKS)
     return at, mixed[at].view(np.int64)
 
 
+def lowest_places(values: np.ndarray, width: int) -> np.ndarray:
+    """Places that are the lowest of some width values in a row, by their upper bits, then leftmost.
+
+    The place is put into the lower bits, so a rolling minimum, by doubling, finds both at once.
+    """
+    bits = np.uint64(len(values).bit_length())
+    lowest = (values >> bits << bits) | np.arange(len(values), dtype=np.uint64)
+    size = 1
+    while size < width:
+        step = min(size, width - size)
+        lowest = np.minimum(lowest[:-step], lowest[step:])
+        size += step
+    places = (lowest & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    # the leftmost lowest place never moves back
+    return places[np.concatenate([[True], places[1:] != places[:-1]])]
+
+
 def _marks(docs: DataFrame) -> DataFrame:
     """Marks of every text with their offsets."""
 

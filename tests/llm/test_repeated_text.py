@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from ledgerlens.llm import repeated_text
 
 SCHEMA = "doc_id long, text string, mark string, spans int"
@@ -119,3 +121,14 @@ def test_words_and_their_hashes():
         for word, value in zip(words, values.tolist(), strict=True):
             assert hashes.setdefault(word, value) == value
     assert len(set(hashes.values())) == len(hashes)
+
+
+def test_lowest_places_of_all_windows():
+    rng = np.random.default_rng(3)
+    for n in (16, 17, 40, 500):
+        values = rng.integers(0, 1 << 63, n).astype(np.uint64) << np.uint64(1)
+        values[rng.integers(0, n, n // 3)] = values[0]  # ties go to the leftmost
+        for width in (1, 3, 15, 16):
+            windows = np.lib.stride_tricks.sliding_window_view(values, width)
+            expected = np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
+            assert repeated_text.lowest_places(values, width).tolist() == expected.tolist()
