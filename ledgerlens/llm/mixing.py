@@ -228,7 +228,12 @@ def mix(docs: DataFrame, payload: bool = False) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself: every row of docs as often as its copies say, same columns."""
+    """The mix itself: every row of docs as often as its copies say, same columns.
+
+    Texts without words (null and empty ones too) have no size and are not taken. A null source
+    is a source; repeated rows are taken each; an empty table stays empty; columns are kept
+    whatever their names.
+    """
     rows = mix(docs, payload=True).filter(F.col("copies") > 0)
     return rows.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_n")).select(
         *[F.col(f"doc.`{c}`") for c in docs.columns]

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import bag_minhash as bags
 from ledgerlens.llm.components import components
+from ledgerlens.operators.prefix_scan import prefix_scan
 from ledgerlens.sources.scratch import Scratch
 
 SIMILARITY = 0.8
@@ -271,6 +272,36 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
 
 
 def distinct_documents(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """docs without the documents that are not the first of their component."""
-    dropped = near_duplicates(docs, threshold).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """docs without the documents that are not the first of their component.
+
+    Rows that share a doc_id but not the text are documents of their own, ranked by doc_id and then
+    by a hash of the text; rows that repeat both stay or go together. Rows with a null text or
+    doc_id, and texts without words, stay. An empty table stays empty; all columns are kept,
+    whatever their names.
+    """
+    text = F.xxhash64(F.col("text"))
+    reused = (
+        docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+        .groupBy("doc_id")
+        .agg((F.min(text) != F.max(text)).alias("reused"))
+        .filter("reused")
+    )
+    if reused.isEmpty():
+        dropped = near_duplicates(docs, threshold).filter(~F.col("kept")).select("doc_id").distinct()
+        kept = docs.join(dropped, "doc_id", "left_anti")
+        return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # every text gets a number of its own, in the order of doc_id
+    scratch = Scratch(docs.sparkSession, "reused-ids")
+    texts = (
+        docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+        .groupBy(F.col("doc_id").alias("id"), text.alias("mark"))
+        .agg(F.first("text").alias("text"))
+    )
+    numbered = prefix_scan(scratch.table(texts, "texts"), [F.asc("id"), F.asc("mark")], [], scratch)
+    numbered = scratch.table(numbered.withColumnRenamed("row_rank", "doc_id"), "numbered")
+    found = near_duplicates(numbered.select("doc_id", "text"), threshold).filter(~F.col("kept"))
+    gone = numbered.join(found.select("doc_id"), "doc_id").select("id", "mark")
+    # the rows as one column, so that no name of theirs clashes
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    this_text = (F.col("doc.doc_id") == F.col("id")) & (F.xxhash64("doc.text") == F.col("mark"))
+    return rows.join(gone, this_text, "left_anti").select(*[F.col(f"doc.`{c}`") for c in docs.columns])

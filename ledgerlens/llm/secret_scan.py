@@ -315,14 +315,28 @@ def train(words: list[str], findings: list[tuple[str, Candidate, bool]] | None =
     return SecretModel(fit_forest(x, y), dictionary)
 
 
-def scan(docs: DataFrame) -> DataFrame:
+Findings = list[tuple[str, Candidate, bool]]
+
+
+def finding(text: str, value: str, secret: bool) -> tuple[str, Candidate, bool]:
+    """A labelled finding for training: the candidate of a text that holds a value."""
+    at = text.index(value)
+    for candidate in candidates(text):
+        if candidate.start < at + len(value) and at < candidate.end:
+            return text, candidate, secret
+    raise ValueError("no candidate holds the value")
+
+
+def scan(docs: DataFrame, labelled: Findings | None = None) -> DataFrame:
     """Per row of docs: doc_id, n_candidates, n_secrets and findings in order.
 
+    labelled are findings (see finding) to train from instead of labelled_findings.
+
     A finding has start and end (code points of the whole text), kind and score. Null and empty
     texts have no findings; repeated rows are scanned each; an empty table gives no rows; other
     columns are not looked at. Starts jobs when called, to gather the dictionary.
     """
-    model = train(corpus_words(docs))
+    model = train(corpus_words(docs), labelled)
     schema = (
         "n_candidates int, n_secrets int,"
         "findings array<struct<start:int,end:int,kind:string,score:double>>"
@@ -342,9 +356,13 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", scanned("text").alias("s")).select("doc_id", "s.*")
 
 
-def redacted_documents(docs: DataFrame) -> DataFrame:
-    """docs with every secret in text replaced by REDACTED, and n_chars counted anew."""
-    model = train(corpus_words(docs))
+def redacted_documents(docs: DataFrame, labelled: Findings | None = None) -> DataFrame:
+    """docs with every secret in text replaced by REDACTED, and n_chars counted anew.
+
+    Null and empty texts stay as they are; repeated rows are redacted alike; an empty table stays
+    empty; other columns are kept, whatever their names. labelled as in scan.
+    """
+    model = train(corpus_words(docs), labelled)
 
     @F.pandas_udf("string")
     def redacted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

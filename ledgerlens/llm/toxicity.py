@@ -263,6 +263,8 @@ def with_severity(docs: DataFrame, model: SeverityModel | None, column: str = "s
 def grade_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, severity (expected grade, 0 to 3) and toxic (severity >= REJECT_AT) of every row.
 
+    The labels tell toxic or not; grades 1 to 3 of training are the text's number of telling words,
+    so only the step from 0 is verified by labels.
     Null and empty texts have no feature and get the severity of a text without any, which is
     near 0; repeated rows are graded each; ids in labels that docs lack, and null labels, are
     not used; an id with several labels is toxic if one says so. Without labelled documents of
@@ -275,6 +277,13 @@ def grade_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that are not rejected, with all their columns."""
-    kept = with_severity(docs, fit(docs, labels), "__severity__").filter(F.col("__severity__") < REJECT_AT)
-    return kept.drop("__severity__")
+    """The rows of docs that are not rejected, with all their columns, whatever their names.
+
+    A null or empty text has no feature and stays; rows that repeat stay or go together; an empty
+    table stays empty. Without labelled documents of both classes nothing is rejected.
+    """
+    column = "severity"
+    while column in docs.columns:
+        column += "_"
+    kept = with_severity(docs, fit(docs, labels), column).filter(F.col(column) < REJECT_AT)
+    return kept.select(*[F.col(f"`{name}`") for name in docs.columns])
