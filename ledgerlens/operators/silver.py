@@ -18,25 +18,25 @@ def silver_transactions(scored: DataFrame) -> DataFrame:
     """
     step = F.col("parsed_step")
 
-    def numbers(*names: str) -> Column:
-        # one small function for every number instead of the same code five times over,
-        # which the JVM would not compile any more
-        columns = F.array(*[F.col(name) for name in names])
-        return F.transform(columns, lambda x: F.coalesce(double_text(x), F.lit("")))
+    def number(name: str) -> Column:
+        x = F.col(name)
+        text = x.cast("string")
+        is_plain = (F.abs(x) < F.lit(float("inf"))) & ~F.contains(text, F.lit("E"))
+        # the long way is only for amounts with an exponent, and kept out of generated code
+        other = F.get(F.transform(F.array(x), double_text), F.lit(0))
+        return F.when(x.isNull(), "").when(is_plain, text).otherwise(other)
 
     # Fixed value: order of the id's parts.
     id_parts = (
         text_or_empty(step),
         text_or_empty(F.col("normalized_transaction_type")),
-        numbers("parsed_amount"),
+        number("parsed_amount"),
         text_or_empty(F.col("sender_account")),
         text_or_empty(F.col("receiver_account")),
-        numbers(
-            "parsed_oldbalanceOrg",
-            "parsed_newbalanceOrig",
-            "parsed_oldbalanceDest",
-            "parsed_newbalanceDest",
-        ),
+        number("parsed_oldbalanceOrg"),
+        number("parsed_newbalanceOrig"),
+        number("parsed_oldbalanceDest"),
+        number("parsed_newbalanceDest"),
         text_or_empty(F.col("parsed_isFraud")),
         text_or_empty(F.col("parsed_isFlaggedFraud")),
     )
