@@ -54,6 +54,23 @@ def test_shards_and_blocks_are_merged(spark, monkeypatch):
     assert hits >= 190
 
 
+def test_recall_on_vectors_without_structure(spark):
+    rng = np.random.default_rng(11)
+    for shift in (0.0, 0.2):
+        matrix = (rng.normal(size=(3000, 256)) + shift).astype(np.float32)
+        vectors = table(spark, [(i, v) for i, v in enumerate(matrix.tolist())])
+        found = ann.search(vectors, vectors.filter("vec_id < 60")).collect()
+        assert len(found) == 300
+        exact = matrix.astype(float)
+        hits = 0
+        for i in range(60):
+            score = ann.cosines(exact, exact[i])
+            score[i] = -2
+            answer = {row["vec_id"] for row in found if row["query_id"] == i}
+            hits += len(set(np.argsort(-score)[:5].tolist()) & answer)
+        assert hits >= 285
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
