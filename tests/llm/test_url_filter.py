@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import url_filter
 from ledgerlens.llm.queries import URL_RULES
@@ -64,6 +65,44 @@ def test_held_out_urls(spark):
     assert right >= 98
 
 
+def test_every_labelled_url_counts(spark):
+    good = [f"read{i % 97}.org/{i * 7919 % 100003}" for i in range(7000)]
+    bad = [f"spam{i % 89}.biz/{i * 104729 % 100003}" for i in range(6000)]
+    rows = [(a, False) for a in good] + [(a, True) for a in bad] + [(None, True), ("", False), ("x.org", None)]
+    labelled = spark.createDataFrame(rows + rows[:50], "address string, rejected boolean")
+    model = url_filter.fit(labelled)
+    known = labelled.filter("address != '' AND rejected IS NOT NULL").distinct()
+    quarter = F.pmod(F.xxhash64(F.lit("quarter"), "address"), F.lit(4))
+    fitted, held = {False: MarkovModel(), True: MarkovModel()}, []
+    for address, rejected, at in known.select("address", "rejected", quarter).collect():
+        if at < url_filter.FIT_QUARTERS:
+            fitted[rejected].add(address.encode())
+        else:
+            held.append((address, rejected))
+
+    def expected(address):
+        text = address.encode()
+        return (fitted[True].log_likelihood(text) - fitted[False].log_likelihood(text)) / len(text)
+
+    starts = {row["gram"]: row for row in model.counts.filter(f"gram < {1 << 16}").collect()}
+    assert sum(row["accepted"] for row in starts.values()) == fitted[False].total[b""]
+    assert sum(row["rejected"] for row in starts.values()) == fitted[True].total[b""]
+    asked = [good[5], bad[7], "never.seen/ßé", "x"]
+    scores = model.scored(spark.createDataFrame([(a,) for a in asked], "address string"))
+    for row in scores.collect():
+        assert row["score"] == pytest.approx(expected(row["address"]), rel=1e-9)
+        assert model.score(row["address"]) == pytest.approx(row["score"], rel=1e-9)
+
+    def errors(threshold):
+        wrong = {False: 0, True: 0}
+        for score, rejected in points:
+            wrong[rejected] += (score > threshold) != rejected
+        return sum(wrong[r] / sum(x == r for _, x in held) for r in wrong)
+
+    points = [(expected(a), r) for a, r in held]
+    assert errors(model.threshold) <= min(errors(score) for score, _ in sorted(points)[::20]) + 1e-9
+
+
 def test_model_is_a_distribution():
     model = MarkovModel()
     for text in (b"abcabc", b"abd"):
