@@ -14,6 +14,8 @@ text, so the quality checks find the cells.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,9 @@ from ledgerlens.sources.scratch import Scratch
 
 # One row per input split; see raw_csv.
 BROADCAST_SPLITS = 1_000_000
+# Splits read by one task, unless that leaves fewer tasks than these for each core.
+TASK_BYTES = 128 << 20
+TASKS_PER_CORE = 4
 
 _SPLIT = ["split_file", "split_start"]
 _RECORD = "split_file string, split_start long, source_file string, piece long, record string"
@@ -30,8 +35,28 @@ _RECORD = "split_file string, split_start long, source_file string, piece long,
 _KINDS = (T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType())
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """The same rows in fewer tasks where splits are small: up to TASK_BYTES of splits a task.
+
+    Every task answers to the driver, so there must not be one for each split, however small.
+    """
+    spark = rows.sparkSession
+    splits = rows.rdd.getNumPartitions()
+    size = re.match(r"(\d+)\s*([bkmgt]?)", spark.conf.get("spark.sql.files.maxPartitionBytes").lower())
+    split_bytes = int(size[1]) << 10 * "bkmgt".index(size[2] or "b")
+    tasks = max(
+        TASKS_PER_CORE * spark.sparkContext.defaultParallelism, -(-splits * split_bytes // TASK_BYTES)
+    )
+    return rows.coalesce(tasks) if tasks < splits else rows
+
+
+def _stored(scratch: Scratch, rows: DataFrame, name: str) -> DataFrame:
+    return _packed(scratch.table(rows, name))
+
+
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return (
+    # numbered before splits are packed, so that a number belongs to its split
+    numbered = (
         spark.read.option("lineSep", "\n")
         .text(paths)
         .select(
@@ -41,8 +66,9 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
             F.col("_metadata.file_name").alias("source_file"),
             F.monotonically_increasing_id().alias("scan_id"),
         )
-        .withColumn("odd", F.length(F.regexp_replace("line", '[^"]', "")) % 2)
     )
+    quotes = F.length(F.regexp_replace("line", '[^"]', ""))
+    return _packed(numbered).withColumn("odd", quotes % 2)
 
 
 def _kind(cell: Column) -> Column:
@@ -105,7 +131,8 @@ def _split_counts(lines: DataFrame, header: list[str], scratch: Scratch) -> Data
     )
     in_file = Window.partitionBy("split_file").orderBy("split_start")
     earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
-    return scratch.table(
+    return _stored(
+        scratch,
         counted.withColumn(
             "inside", F.coalesce(F.sum("odd_lines").over(earlier) % 2, F.lit(0))
         ).withColumn(
@@ -126,7 +153,8 @@ def _assembled(lines: DataFrame, splits: DataFrame, scratch: Scratch) -> DataFra
     before = in_split.rowsBetween(Window.unboundedPreceding, -1)
     up_to = in_split.rowsBetween(Window.unboundedPreceding, 0)
     starts = (F.col("within") == 0) & (F.trim("line") != "")
-    pieces = scratch.table(
+    pieces = _stored(
+        scratch,
         lines.join(odd_splits, _SPLIT)
         .withColumn("within", (F.col("inside") + F.coalesce(F.sum("odd").over(before), F.lit(0))) % 2)
         .withColumn("piece", F.sum(F.when(starts, 1).otherwise(0)).over(up_to))
@@ -164,7 +192,8 @@ def _assembled(lines: DataFrame, splits: DataFrame, scratch: Scratch) -> DataFra
     tails = heads.groupBy(*_SPLIT, "piece").agg(
         F.array_join(F.array_sort(F.collect_list("head")).getField("text"), "\n").alias("tail")
     )
-    return scratch.table(
+    return _stored(
+        scratch,
         pieces.filter("piece > 0")
         .join(tails, [*_SPLIT, "piece"], "left")
         .select(
@@ -216,7 +245,8 @@ def read_numbered(
     earlier = Window.orderBy(*_SPLIT).rowsBetween(Window.unboundedPreceding, -1)
     found = F.when(F.col("plain"), F.col("lines")).otherwise(F.coalesce("records", F.lit(0))) - is_first
     # one row per split of the input, never one per record
-    starts = scratch.table(
+    starts = _stored(
+        scratch,
         splits.join(of_odd, _SPLIT, "left").select(
             *_SPLIT,
             "plain",

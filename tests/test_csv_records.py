@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators.quality import score_quality
 from ledgerlens.plans.pipeline import run_ingest, run_pipeline
 from ledgerlens.schema import RAW_COLUMNS, RAW_SCHEMA
+from ledgerlens.sources import csv_records
 from ledgerlens.sources.csv_records import read_numbered
 from ledgerlens.sources.lake import Lake
 from ledgerlens.sources.raw_csv import fixed_splits
@@ -143,3 +144,14 @@ def test_sample_does_not_read_later_files(spark, tmp_path, mode):
     assert bronze.agg(F.max("source_row_number")).first()[0] == 15
     with pytest.raises(Exception):
         run_ingest(spark, str(tmp_path / "lake2"), str(raw), sample_rows=45, schema=RAW_SCHEMA, mode=mode)
+
+
+def test_small_splits_share_tasks(spark, tmp_path, small_splits):
+    rows = [(str(i), f"x\n{i}" if i % 5 == 0 else "plain", "") for i in range(400)]
+    written(tmp_path, {"a.csv": [("a", "b", "c"), *rows]})
+    small_splits(64)
+    most = csv_records.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    lines = csv_records._lines(spark, [str(tmp_path / "a.csv")])
+    assert lines.select("split_start").distinct().count() > 2 * most
+    assert lines.rdd.getNumPartitions() <= most
+    assert len(read(spark, tmp_path)[1]) == 400
