@@ -60,25 +60,46 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
         spark.read.option("lineSep", "\n")
         .text(paths)
         .select(
-            F.regexp_replace("value", r"\r$", "").alias("line"),
+            F.when(F.contains("value", F.lit("\r")), F.regexp_replace("value", r"\r$", ""))
+            .otherwise(F.col("value"))
+            .alias("line"),
             F.col("_metadata.file_path").alias("split_file"),
             F.col("_metadata.file_block_start").alias("split_start"),
             F.col("_metadata.file_name").alias("source_file"),
             F.monotonically_increasing_id().alias("scan_id"),
         )
     )
-    quotes = F.length(F.regexp_replace("line", '[^"]', ""))
+    quotes = F.octet_length("line") - F.octet_length(_without(F.col("line"), '"'))
     return _packed(numbered).withColumn("odd", quotes % 2)
 
 
+def _without(text: Column, part: str) -> Column:
+    return F.replace(text, F.lit(part), F.lit(""))
+
+
 def _kind(cell: Column) -> Column:
     """Place in _KINDS of the narrowest type that holds a cell; empty cells fit everywhere.
 
-    Casts are only tried where a pattern fits, since one that fails is slow.
+    Casts are only tried where a pattern fits, since one that fails is slow. Patterns are only
+    tried on cells that are neither plain digits, with a point or without, nor begin with a
+    letter that no number begins with.
     """
+    others = F.translate(cell, "0123456789", "")
+    first = F.substring(cell, 1, 1)
+    letter = first.between("A", "Z") | first.between("a", "z")
+    return (
+        F.when(cell.isNull() | (cell == ""), 0)
+        .when((others == "") & (F.length(cell) <= 9), 0)
+        .when((others == ".") & (F.length(cell) > 1), 2)
+        .when(letter & ~first.isin("N", "n", "I", "i"), 3)
+        .otherwise(_kind_by_pattern(cell))
+    )
+
+
+def _kind_by_pattern(cell: Column) -> Column:
     whole = F.when(cell.rlike(r"^\s*[+-]?\d{1,18}\s*$"), cell).try_cast("long")
     return (
-        F.when(cell.isNull() | (cell == "") | whole.between(-(1 << 31), (1 << 31) - 1), 0)
+        F.when(whole.between(-(1 << 31), (1 << 31) - 1), 0)
         .when(whole.isNotNull(), 1)
         .when(number_text(cell).isNotNull(), 2)
         .otherwise(3)
@@ -100,7 +121,7 @@ def _with_cells(df: DataFrame, record: Column, header: list[str], mode: str) ->
 
 
 def _like_header(line: str, header: list[str]) -> Column:
-    return F.regexp_replace(F.col(line), '["\\x{FEFF}]', "") == F.lit(",".join(header))
+    return _without(_without(F.col(line), '"'), "\ufeff") == F.lit(",".join(header))
 
 
 def _text_schema(header: list[str]) -> str:

@@ -155,3 +155,15 @@ def test_small_splits_share_tasks(spark, tmp_path, small_splits):
     assert lines.select("split_start").distinct().count() > 2 * most
     assert lines.rdd.getNumPartitions() <= most
     assert len(read(spark, tmp_path)[1]) == 400
+
+
+def test_kinds_without_patterns(spark):
+    cells = [
+        None, "", "0", "12", "999999999", "2147483647", "2147483648", "9" * 18, "9" * 19, "1.5", ".5", "5.", ".", "1.2.3",
+        "+7", "-7", " 7 ", "1e5", "1E-5", "nan", "NaN", "inf", "Infinity", "-inf", "in", "C12", "12C", "x", "é1", "[", "`", "1\n",
+    ]
+    frame = spark.createDataFrame([(c,) for c in cells], "cell string")
+    cell = F.col("cell")
+    plain = F.when(cell.isNull() | (cell == ""), 0).otherwise(csv_records._kind_by_pattern(cell))
+    for row in frame.select("cell", csv_records._kind(cell).alias("quick"), plain.alias("plain")).collect():
+        assert row["quick"] == row["plain"], row["cell"]
