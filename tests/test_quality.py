@@ -249,3 +249,23 @@ def test_key_text_decides_equality(spark):
         0: (2, 1), 1: (1, 1), 2: (2, 2), 3: (2, 1), 4: (2, 2), 5: (2, 1), 6: (2, 2), 7: (2, 1),
         8: (2, 2), 9: (1, 1),
     }
+
+
+@pytest.mark.parametrize("rows_per_block", [1, 1_000_000])
+def test_writers_of_a_layout_do_not_rank_again(spark, rows_per_block):
+    """Groups ranked whole or by block, rows with a repeated number or none included."""
+    rows = [(n if n % 9 else None, f"k{n % 40}" if n % 3 else f"u{n}", n % 4, n) for n in range(600)]
+    rows += [(1, "k1", 1, 600), (None, None, 0, 601), (7, "", 3, 602)]
+    df = spark.createDataFrame(rows, "n long, k string, day int, i int").repartition(4)
+    ranked = rank_copies(df, ("k",), "n", Scratch(spark, "t"), rows_per_block, layout="day")
+    assert "Window" not in ranked._jdf.queryExecution().optimizedPlan().toString()
+    groups = {}
+    for row in ranked.collect():
+        groups.setdefault(row["k"] or "", []).append(row)
+    assert sorted(row["i"] for group in groups.values() for row in group) == list(range(603))
+    for group in groups.values():
+        group.sort(key=lambda row: row["duplicate_rank"])
+        assert [row["duplicate_rank"] for row in group] == list(range(1, len(group) + 1))
+        assert {row["duplicate_count"] for row in group} == {len(group)}
+        numbers = [math.inf if row["n"] is None else row["n"] for row in group]
+        assert numbers == sorted(numbers)
