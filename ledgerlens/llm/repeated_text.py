@@ -14,12 +14,13 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,7 @@ BASE = 0x9E3779B97F4A7C15
 
 UNITS = "doc_id long, mark long, number int, start int, end int, words int, high long, low long"
 MARK_ROWS = "doc_id long, mark long, start int, end int, value long"
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 WINDOWS = "doc_id long, mark long, start int, end int, high long, low long"
 
 
@@ -59,28 +61,55 @@ def units_of(text: str) -> list[tuple[int, int, list[str]]]:
 def _units(docs: DataFrame) -> DataFrame:
     """Units of UNIT_WORDS or more with the digest of their words."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows: list[tuple] = []
-            digests: list[bytes] = []
-            for doc_id, mark, text in zip(batch["doc_id"], batch["mark"], batch["text"], strict=True):
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
-                for number, (start, end, words) in enumerate(units_of(text)):
-                    if len(words) >= UNIT_WORDS:
-                        rows.append((doc_id, mark, number, start, end, len(words)))
-                        digests.append(xxhash.xxh3_128_digest(" ".join(words)))
-                if len(rows) > 200_000:
-                    yield _frame(rows, digests)
-                    rows, digests = [], []
-            yield _frame(rows, digests)
+    def cut(text: str) -> list[np.ndarray]:
+        rows = [
+            (number, start, end, len(words), " ".join(words))
+            for number, (start, end, words) in enumerate(units_of(text))
+            if len(words) >= UNIT_WORDS
+        ]
+        *places, units = zip(*rows, strict=True) if rows else [()] * 5
+        return [*[np.array(column, np.int32) for column in places], *_digests(units)]
+
+    return docs.mapInArrow(_per_text(cut, ["text"], UNITS), UNITS)
+
 
-    return docs.mapInPandas(cut, UNITS)
+def _digests(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Upper and lower half of the digest of every text."""
+    halves = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, texts)), dtype=np.int64)
+    return halves[::2], halves[1::2]
 
 
-def _frame(rows: list[tuple], digests: list[bytes]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["doc_id", "mark", "number", "start", "end", "words"])
-    halves = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
-    return frame.assign(doc_id=frame["doc_id"].astype("Int64"), high=halves[:, 0], low=halves[:, 1])
+def _per_text(cut: Callable[..., list[np.ndarray]], given: list[str], schema: str):
+    """An Arrow function of the rows, as columns, that cut finds in the given values of a text.
+
+    The first two columns of the schema are doc_id and mark of the text, which are added.
+    """
+    names = [column.split()[0] for column in schema.split(", ")]
+
+    def batch_of(keys: list[tuple], found: list[list[np.ndarray]]) -> pa.RecordBatch:
+        of_text = pa.array(np.repeat(np.arange(len(found)), [len(columns[0]) for columns in found]))
+        same = [pa.array(values, pa.int64()).take(of_text) for values in zip(*keys, strict=True)]
+        columns = [pa.array(np.concatenate(parts)) for parts in zip(*found, strict=True)]
+        return pa.RecordBatch.from_arrays([*same, *columns], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, found, rows = [], [], 0
+        for batch in batches:
+            # one text at a time, since a batch may hold large ones
+            values = [(x.as_py() for x in batch[name]) for name in ("doc_id", "mark", *given)]
+            for doc_id, mark, *rest in zip(*values, strict=True):
+                columns = cut(*rest)
+                if len(columns[0]):
+                    keys.append((doc_id, mark))
+                    found.append(columns)
+                    rows += len(columns[0])
+                if rows > 100_000:
+                    yield batch_of(keys, found)
+                    keys, found, rows = [], [], 0
+        if found:
+            yield batch_of(keys, found)
+
+    return run
 
 
 def stretches(units: list[tuple[int, int, int, int]], total: list[int] | None = None) -> list[tuple[int, int]]:
@@ -214,52 +243,12 @@ def lowest_places(values: np.ndarray, width: int) -> np.ndarray:
 def _marks(docs: DataFrame) -> DataFrame:
     """Marks of every text with their offsets."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                values, starts, ends = word_hashes(batch["text"][row].as_py())
-                at, marks = marked_words(values)
-                if len(at):
-                    same = [batch[name].slice(row, 1).take(pa.array(np.zeros(len(at), np.int32))) for name in ("doc_id", "mark")]
-                    places = [pa.array(starts[at]), pa.array(ends[at + MARK_WORDS - 1])]
-                    yield pa.RecordBatch.from_arrays([*same, *places, pa.array(marks)], names=names)
-
-    names = ["doc_id", "mark", "start", "end", "value"]
-    return docs.mapInArrow(_gathered(cut), MARK_ROWS)
+    def cut(text: str) -> list[np.ndarray]:
+        values, starts, ends = word_hashes(text)
+        at, marks = marked_words(values)
+        return [starts[at], ends[at + MARK_WORDS - 1], marks]
 
-
-def _gathered(cut):
-    """cut with its small batches put together."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in cut(batches):
-            held.append(batch)
-            rows += batch.num_rows
-            if rows > 100_000:
-                yield pa.concat_batches(held)
-                held, rows = [], 0
-        if held:
-            yield pa.concat_batches(held)
-
-    return run
-
-
-def _joined(cut):
-    """cut with its small frames put together."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frames, rows = [], 0
-        for frame in cut(batches):
-            frames.append(frame)
-            rows += len(frame)
-            if rows > 100_000:
-                yield pd.concat(frames, ignore_index=True)
-                frames, rows = [], 0
-        if frames:
-            yield pd.concat(frames, ignore_index=True)
-
-    return run
+    return docs.mapInArrow(_per_text(cut, ["text"], MARK_ROWS), MARK_ROWS)
 
 
 def window_places(words: list[str], starts: np.ndarray, ends: np.ndarray, marks: list[int], removed: list[tuple[int, int]]) -> list[int]:
@@ -281,42 +270,50 @@ def window_places(words: list[str], starts: np.ndarray, ends: np.ndarray, marks:
 def _windows(texts: DataFrame) -> DataFrame:
     """Windows of the texts around their repeated marks, with the digest of their words."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for doc_id, mark, text, marks, spans in zip(
-                batch["doc_id"], batch["mark"], batch["text"], batch["marks"], batch["spans"], strict=True
-            ):
-                words, starts, ends = words_of(text)
-                removed = [] if spans is None else [(s["start"], s["end"]) for s in spans]
-                at = window_places(words, starts, ends, marks, removed)
-                if at:
-                    digests = [xxhash.xxh3_128_digest(" ".join(words[i : i + LEAST_WORDS])) for i in at]
-                    halves = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
-                    first = np.array(at)
-                    frame = pd.DataFrame({"start": starts[first], "end": ends[first + LEAST_WORDS - 1], "high": halves[:, 0], "low": halves[:, 1]})
-                    doc_id = None if pd.isna(doc_id) else int(doc_id)
-                    yield frame.assign(doc_id=pd.Series([doc_id] * len(at), dtype="Int64"), mark=mark)
-
-    return texts.mapInPandas(_joined(cut), WINDOWS)
+    def cut(text: str, marks: list[int], spans: list[dict] | None) -> list[np.ndarray]:
+        words, starts, ends = words_of(text)
+        removed = [(s["start"], s["end"]) for s in spans or []]
+        first = np.array(window_places(words, starts, ends, marks, removed), np.int64)
+        last = first + LEAST_WORDS - 1
+        # a window's words with spaces between them are a part of all words with spaces between them
+        joined = " ".join(words)
+        stops = np.cumsum([len(word) + 1 for word in words], dtype=np.int64) - 1
+        begins = np.concatenate([np.zeros(1, np.int64), stops + 1])
+        pairs = zip(begins[first].tolist(), stops[last].tolist(), strict=True)
+        return [starts[first], ends[last], *_digests(joined[a:b] for a, b in pairs)]
+
+    return texts.mapInArrow(_per_text(cut, ["text", "marks", "spans"], WINDOWS), WINDOWS)
 
 
 def uncovered(later: list[tuple[int, int]], kept: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """What the spans of later cover and those of kept do not, as spans in order."""
-    events = [(a, 0, 1) for a, _ in later] + [(b, 0, -1) for _, b in later]
-    events += [(a, 1, 1) for a, _ in kept] + [(b, 1, -1) for _, b in kept]
-    depth, spans, since = [0, 0], [], None
-    events.sort()
-    for i, (place, which, step) in enumerate(events):
-        depth[which] += step
-        if i + 1 < len(events) and events[i + 1][0] == place:
-            continue
-        open_ = depth[0] > 0 and depth[1] == 0
-        if open_ and since is None:
-            since = place
-        elif not open_ and since is not None:
-            spans.append((since, place))
-            since = None
-    return spans
+    rows = [pa.array([[{"start": a, "end": b} for a, b in spans]], SPANS) for spans in (later, kept)]
+    return [(span["start"], span["end"]) for span in uncovered_rows(*rows)[0].as_py()]
+
+
+def uncovered_rows(later: pa.Array, kept: pa.Array) -> pa.Array:
+    """uncovered for every row of two arrays of SPANS."""
+    places, steps = [], []
+    for spans, step in ((later, np.array([1, 0])), (kept, np.array([0, 1]))):
+        row = pc.list_parent_indices(spans).to_numpy(zero_copy_only=False).astype(np.int64) << 32
+        flat = pc.list_flatten(spans)
+        for name, sign in (("start", 1), ("end", -1)):
+            places.append(row + pc.struct_field(flat, name).to_numpy(zero_copy_only=False))
+            steps.append(np.broadcast_to(sign * step, (len(row), 2)))
+    place, step = np.concatenate(places), np.concatenate(steps)
+    order = np.argsort(place, kind="stable")
+    place, depth = place[order], np.cumsum(step[order], axis=0)
+    at_last = np.append(place[1:] != place[:-1], True)[: len(place)]
+    place, depth = place[at_last], depth[at_last]
+    # every span of a row ends in it, so nothing is open between rows
+    open_ = (depth[:, 0] > 0) & (depth[:, 1] == 0)
+    before = np.concatenate([np.zeros(1, bool), open_])[: len(open_)]
+    start, end = place[open_ & ~before], place[~open_ & before]
+    ends = np.cumsum(np.bincount(start >> 32, minlength=len(later)))
+    offsets = pa.array(np.concatenate([np.zeros(1, np.int64), ends]).astype(np.int32))
+    low = np.int64((1 << 32) - 1)
+    parts = [pa.array((side & low).astype(np.int32)) for side in (start, end)]
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(parts, names=["start", "end"]))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -398,18 +395,7 @@ def _word_spans(texts: DataFrame, units: DataFrame, first: DataFrame, removed: D
         .filter(F.size("later") > 0)
     )
 
-    @F.pandas_udf("array<struct<start:int,end:int>>")
-    def spans(later: pd.Series, kept: pd.Series) -> pd.Series:
-        def pairs(windows: list) -> list[tuple[int, int]]:
-            return [(w["start"], w["end"]) for w in windows]
-
-        return pd.Series(
-            [
-                [{"start": start, "end": end} for start, end in uncovered(pairs(a), pairs(b))]
-                for a, b in zip(later, kept, strict=True)
-            ]
-        )
-
+    spans = F.arrow_udf(uncovered_rows, "array<struct<start:int,end:int>>")
     found = per_text.select("doc_id", "mark", spans("later", "kept").alias("spans"))
     found = scratch.table(found.filter(F.size("spans") > 0), "covered")
     whole = (

@@ -2,6 +2,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 
 from ledgerlens.llm import repeated_text
 
@@ -132,3 +134,50 @@ def test_lowest_places_of_all_windows():
             windows = np.lib.stride_tricks.sliding_window_view(values, width)
             expected = np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
             assert repeated_text.lowest_places(values, width).tolist() == expected.tolist()
+
+
+def test_uncovered_rows_are_those_of_single_places():
+    """Spans in any order, that overlap, touch or repeat, in rows side by side."""
+    generator = np.random.default_rng(5)
+    rows = []
+    for _ in range(200):
+        starts = generator.integers(0, 60, (2, 6))
+        rows.append(
+            [
+                [(int(a), int(a + size)) for a, size in zip(some[:n], generator.integers(1, 9, 6))]
+                for some, n in zip(starts, generator.integers(0, 7, 2))
+            ]
+        )
+    sides = [
+        pa.array([[{"start": a, "end": b} for a, b in row[side]] for row in rows], repeated_text.SPANS)
+        for side in (0, 1)
+    ]
+    # a slice, whose offsets do not begin at zero
+    found = repeated_text.uncovered_rows(*[side.slice(3) for side in sides]).to_pylist()
+    for (later, kept), spans in zip(rows[3:], found, strict=True):
+        open_ = {x for a, b in later for x in range(a, b)} - {x for a, b in kept for x in range(a, b)}
+        assert {x for s in spans for x in range(s["start"], s["end"])} == open_
+        assert all(a["end"] < b["start"] or a["end"] in {x for x, _ in kept} | {y for _, y in kept} for a, b in zip(spans, spans[1:]))
+    empty = pa.array([], repeated_text.SPANS)
+    assert repeated_text.uncovered_rows(empty, empty).to_pylist() == []
+
+
+def test_windows_are_digests_of_their_words(spark):
+    """Texts whose lower case is longer, characters of several bytes, and words without spaces."""
+    texts = [
+        " ".join(f"Word{i % 7}" for i in range(60)),
+        "İstanbul " * 30 + "ÉTÉ  été\n" * 10,
+        "漢字かな" * 12,
+        "too short",
+    ]
+    rows = [(n, n * 10, text, [0, 40], None) for n, text in enumerate(texts)]
+    schema = "doc_id long, mark long, text string, marks array<int>, spans array<struct<start:int,end:int>>"
+    found = repeated_text._windows(spark.createDataFrame([*rows, (None, 7, texts[0], [0], None)], schema)).collect()
+    assert {row["doc_id"] for row in found} == {0, 1, 2, None}
+    for row in found:
+        text = texts[row["doc_id"] or 0]
+        words, starts, ends = repeated_text.words_of(text)
+        first = starts.tolist().index(row["start"])
+        assert row["end"] == ends[first + repeated_text.LEAST_WORDS - 1]
+        digest = xxhash.xxh3_128_digest(" ".join(words[first : first + repeated_text.LEAST_WORDS]))
+        assert np.frombuffer(digest, np.int64).tolist() == [row["high"], row["low"]]
